@@ -209,7 +209,9 @@ def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   error events → 500 with a non-JSON body (even k) or 429 with an error body
 #   other 200 bodies by k % 7: 0 not JSON, 1 data null, 2 data absent,
 #   3 data object, 4 JSON array, else an array of k % 4 objects
-#   i % 17 = 3 → object storage failure; i % 5 = 0 → endpoint '/flights/'
+#   i % 17 = 3 → object storage failure; i % 37 = 0 → invalid endpoint 'a/b',
+#   else i % 5 = 0 → endpoint '/flights/'; Access_Key when i % 3 = 0, token
+#   when i % 7 = 1 (credentials: redacted, and refused by the client check)
 # ---------------------------------------------------------------------------
 
 def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,16 +232,19 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     transport = (F.when(status == 0, F.lit("request failed: timed out"))
                  .when(status == 429, F.lit("HTTP 429: Too Many Requests")))
     storage = F.when(body.isNotNull() & (i % 17 == 3), F.lit("object storage failed: disk full"))
-    params = F.create_map(F.lit("dep_iata"), F.concat(F.lit("P"), F.col("user_id") % 9),
-                          F.lit("limit"), k.cast("string"),
-                          F.lit("Access_Key"), F.concat(F.lit("secret"), i))
+    params = F.map_filter(F.create_map(
+        F.lit("dep_iata"), F.concat(F.lit("P"), F.col("user_id") % 9),
+        F.lit("limit"), k.cast("string"),
+        F.lit("Access_Key"), F.when(i % 3 == 0, F.concat(F.lit("secret"), i)),
+        F.lit("token"), F.when(i % 7 == 1, F.concat(F.lit("t"), i))), lambda _k, v: v.isNotNull())
     return e.select(
         F.concat(F.lit("r"), i).alias("ingestion_id"),
         status.cast("int").alias("http_status"),
         F.encode(body, "UTF-8").alias("body"),
         transport.cast("string").alias("transport_error"),
         storage.cast("string").alias("storage_error"),
-        F.when(i % 5 == 0, F.lit("/flights/")).otherwise(F.lit("flights")).alias("endpoint"),
+        F.when(i % 37 == 0, F.lit("a/b")).when(i % 5 == 0, F.lit("/flights/"))
+        .otherwise(F.lit("flights")).alias("endpoint"),
         params.alias("params"),
         F.col("ts").alias("ingested_at"),
     )
