@@ -29,6 +29,31 @@ def integral_minutes(v: Column) -> Column:
     )
 
 
+def delay_parts(v: Column) -> list[Column]:
+    """Layered form of ``integral_minutes`` (one projection computes the
+    parts, the next combines them; see ``delay_from_parts``)."""
+    return [variant.json_type(v).alias("_dv_t"),
+            F.try_variant_get(v, "$", "double").alias("_dv_d"),
+            F.try_variant_get(v, "$", "int").alias("_dv_i"),
+            F.try_variant_get(v, "$", "string").alias("_dv_s")]
+
+
+def delay_from_parts() -> Column:
+    t, num, s = F.col("_dv_t"), F.col("_dv_d"), text.strip(F.col("_dv_s"))
+    whole = num.isNotNull() & (num == F.floor(num)) & (F.abs(num) <= F.lit(_INT_MAX))
+    return (F.when(variant.is_integer(t), F.col("_dv_i"))
+            .when(variant.is_fractional(t) & whole, num.cast("int"))
+            .when((t == F.lit("STRING")) & s.rlike(_INT_TEXT), s.try_cast("int")))
+
+
+def delay_result(v: Column, n: Column) -> Column:
+    """struct(value, error) from the chosen delay leaf and its integer."""
+    error = (F.when(variant.is_missing(v), F.lit(None))
+             .when(n.isNull(), F.lit("invalid delay"))
+             .when(n < 0, F.lit("negative delay")))
+    return F.struct(F.when(n >= 0, n).alias("value"), error.cast("string").alias("error"))
+
+
 def delay_minutes(arrival_delay: Column, departure_delay: Column) -> Column:
     """struct(value INT, error STRING): arrival delay when it holds a value,
     else departure delay; an *invalid* arrival value does not fall back."""

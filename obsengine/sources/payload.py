@@ -58,35 +58,80 @@ def saw_field(records: DataFrame, name: str) -> DataFrame:
                                   F.lit(False)).alias("saw"))
 
 
-def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",)) -> DataFrame:
-    """Typed observation columns + quality routing for exploded records."""
+def _leaves(records: DataFrame, additive: Sequence[str]) -> DataFrame:
+    """Step 1: pull every VARIANT leaf the contract reads into its own column
+    (each leaf is then typed once, and generated code stays small)."""
     r = F.col("record")
+    paths = {
+        "_flight": ("flight", "iata"), "_status": ("flight_status",),
+        "_airline": ("airline", "iata"), "_airline_name": ("airline", "name"),
+        "_dep": ("departure", "iata"), "_dep_name": ("departure", "airport"),
+        "_arr": ("arrival", "iata"), "_arr_name": ("arrival", "airport"),
+        "_sd": ("departure", "scheduled"), "_ad": ("departure", "actual"),
+        "_sa": ("arrival", "scheduled"), "_aa": ("arrival", "actual"),
+        "_arr_delay": ("arrival", "delay"), "_dep_delay": ("departure", "delay"),
+    }
+    whole = F.col("decode_error").isNull() & F.col("element_error").isNull()
+    return records.select(
+        "object_path", "observed_at", "payload_sha256", "pos", "decode_error", "element_error",
+        whole.alias("_whole"),
+        *[variant.field(r, *p).alias(n) for n, p in paths.items()],
+        *[variant.field(r, a).alias(f"_x_{a}") for a in additive],
+        *[variant.has_key(r, a).alias(f"_saw_{a}") for a in additive],
+    )
 
-    def f(*path: str) -> Column:
-        return variant.field(r, *path)
-
-    flight = text.code(f("flight", "iata"))
-    dep = text.code(f("departure", "iata"))
-    sched_dep = time.strict_timestamp(f("departure", "scheduled"), "departure.scheduled")
-    act_dep = time.strict_timestamp(f("departure", "actual"), "departure.actual")
-    sched_arr = time.strict_timestamp(f("arrival", "scheduled"), "arrival.scheduled")
-    act_arr = time.strict_timestamp(f("arrival", "actual"), "arrival.actual")
-    delay = numbers.delay_minutes(f("arrival", "delay"), f("departure", "delay"))
-    typed = records.select(
+
+_CODES = {"_flight": True, "_status": False, "_airline": True, "_dep": True, "_arr": True}
+_LABELS = ["_airline_name", "_dep_name", "_arr_name"]
+_TIMES = {"_sd": "departure.scheduled", "_ad": "departure.actual",
+          "_sa": "arrival.scheduled", "_aa": "arrival.actual"}
+
+
+def _typed(leaves: DataFrame, additive: Sequence[str]) -> DataFrame:
+    """Step 2: type each leaf in layers.  Every layer reads the previous
+    layer's columns, so each value (string view, parsed time, chosen delay)
+    is computed once instead of being re-expanded inside its own checks."""
+    c = F.col
+    strings = [*_CODES, *_LABELS, *_TIMES, *[f"_x_{a}" for a in additive]]
+    l1 = leaves.select(
         "*",
-        flight.alias("flight_iata"),
-        text.code(f("flight_status"), upper=False).alias("flight_status"),
-        text.code(f("airline", "iata")).alias("airline_iata"),
-        text.label(f("airline", "name")).alias("airline_name"),
-        dep.alias("departure_airport_iata"),
-        text.label(f("departure", "airport")).alias("departure_airport_name"),
-        text.code(f("arrival", "iata")).alias("arrival_airport_iata"),
-        text.label(f("arrival", "airport")).alias("arrival_airport_name"),
-        sched_dep.alias("_sd"), act_dep.alias("_ad"), sched_arr.alias("_sa"),
-        act_arr.alias("_aa"), delay.alias("_dl"),
-        *[text.code(f(a), upper=False).alias(a) for a in additive],
-        *[variant.has_key(r, a).alias(f"_saw_{a}") for a in additive],
+        *[variant.string_value(c(n)).alias(f"{n}_s") for n in strings],
+        *[variant.is_missing(c(n)).alias(f"{n}_m") for n in _TIMES],
+        F.when(variant.is_missing(c("_arr_delay")), c("_dep_delay"))
+        .otherwise(c("_arr_delay")).alias("_dv"),
     )
+    l2 = l1.select(
+        "*",
+        *[time.parse_offset_text(c(f"{n}_s")).alias(f"{n}_v") for n in _TIMES],
+        *numbers.delay_parts(c("_dv")),
+    )
+    l3 = l2.select(
+        "*",
+        *[F.when(~c(f"{n}_m") & c(f"{n}_v").isNull(), F.lit(f"invalid {name}")).alias(f"{n}_e")
+          for n, name in _TIMES.items()],
+        numbers.delay_from_parts().alias("_dn"),
+    )
+    return l3.select(
+        "object_path", "observed_at", "payload_sha256", "pos", "decode_error", "element_error",
+        "_whole",
+        text.code_text(c("_flight_s")).alias("flight_iata"),
+        text.code_text(c("_status_s"), upper=False).alias("flight_status"),
+        text.code_text(c("_airline_s")).alias("airline_iata"),
+        text.blank_to_null(text.strip(c("_airline_name_s"))).alias("airline_name"),
+        text.code_text(c("_dep_s")).alias("departure_airport_iata"),
+        text.blank_to_null(text.strip(c("_dep_name_s"))).alias("departure_airport_name"),
+        text.code_text(c("_arr_s")).alias("arrival_airport_iata"),
+        text.blank_to_null(text.strip(c("_arr_name_s"))).alias("arrival_airport_name"),
+        *[F.struct(c(f"{n}_v").alias("value"), c(f"{n}_e").alias("error")).alias(n) for n in _TIMES],
+        numbers.delay_result(c("_dv"), c("_dn")).alias("_dl"),
+        *[text.code_text(c(f"_x_{a}_s"), upper=False).alias(a) for a in additive],
+        *[c(f"_saw_{a}") for a in additive],
+    )
+
+
+def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",)) -> DataFrame:
+    """Typed observation columns + quality routing for exploded records."""
+    typed = _typed(_leaves(records, additive), additive)
     reason = F.coalesce(
         F.col("decode_error"), F.col("element_error"),
         quality.reasons(
@@ -95,15 +140,15 @@ def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",))
             quality.missing(F.col("_sd.value"), "departure.scheduled"),
             F.col("_sd.error"), F.col("_ad.error"), F.col("_sa.error"), F.col("_aa.error"),
             F.col("_dl.error")))
-    bad = reason.isNotNull()
-    whole = F.col("decode_error").isNull() & F.col("element_error").isNull()
+    bad = F.col("quality_reason").isNotNull()
+    whole = F.col("_whole")
 
     def kept(c: Column) -> Column:
         """Fields parsed from a record survive quarantine; body-level rows are empty."""
         return F.when(whole, c)
 
     key = keys.instance_key(F.col("flight_iata"), F.col("departure_airport_iata"), F.col("_sd.value"))
-    out = typed.select(
+    return typed.withColumn("quality_reason", reason).select(
         F.when(bad, keys.quarantine_key(F.col("payload_sha256"), F.col("pos")))
         .otherwise(key).alias("flight_instance_key"),
         *[kept(F.col(c)).alias(c) for c in ("flight_iata", "flight_status", "airline_iata",
@@ -120,12 +165,11 @@ def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",))
         F.col("object_path").alias("source_file"),
         F.col("payload_sha256"),
         F.when(bad, F.lit("quarantined")).otherwise(F.lit("valid")).alias("quality_status"),
-        reason.alias("quality_reason"),
+        F.col("quality_reason"),
         *[kept(F.col(a)).alias(a) for a in additive],
         *[F.coalesce(kept(F.col(f"_saw_{a}")), F.lit(False)).alias(f"_saw_{a}") for a in additive],
         F.col("pos"),
     )
-    return out
 
 
 def parse(payloads: DataFrame, additive: Sequence[str] = ("aircraft_type",),
