@@ -1,10 +1,12 @@
 """Versioned publish, version listing and time-travel reads.
 
-A dataset is a folder of ``version=N`` parquet partitions; every row of a
-version carries its ``committed_at``.  Readers filter ``version`` (partition
-pruning), a new version never overwrites the one being read, and a no-op
-change set publishes nothing.  The folder lives under the cluster's shared
-checkpoint folder (see ``session.shared_dir``).
+A dataset is a folder of ``version=N`` parquet folders plus a small commit
+log ``<base>_commits`` (one row per version: ``version, committed_at,
+rows``).  A version's files are written first and its log row second, so a
+crashed publish is never visible.  Readers resolve versions from the log and
+read exactly one version folder, with that version's own schema (additive
+evolution between versions is allowed).  The folders live under the
+cluster's shared checkpoint folder (see ``session.shared_dir``).
 """
 
 from __future__ import annotations
@@ -15,18 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .state import CHANGE, current
+from .state import CHANGE, KEEP, current
+
+
+def _log_path(base: str) -> str:
+    return base.rstrip("/") + "_commits"
 
 
 def versions(spark: SparkSession, base: str) -> DataFrame:
     """``(version, committed_at)`` of every published version."""
-    return (spark.read.parquet(base).groupBy("version")
-            .agg(F.max("committed_at").alias("committed_at")))
+    return spark.read.parquet(_log_path(base)).select("version", "committed_at")
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
     try:
-        row = spark.read.parquet(base).agg(F.max("version").alias("v")).first()
+        row = spark.read.parquet(_log_path(base)).agg(F.max("version").alias("v")).first()
     except AnalysisException:
         return None
     return None if row is None else row["v"]
@@ -37,14 +42,17 @@ def publish(df: DataFrame, base: str, committed_at: datetime) -> int:
     spark = df.sparkSession
     last = latest_version(spark, base)
     version = 0 if last is None else last + 1
-    (current(df).withColumn("committed_at", F.lit(committed_at).cast("timestamp_ntz"))
-     .write.mode("overwrite").parquet(f"{base}/version={version}"))
+    current(df).write.mode("overwrite").parquet(f"{base}/version={version}")
+    rows = spark.read.parquet(f"{base}/version={version}").count()
+    log = spark.createDataFrame([(version, committed_at, rows)],
+                                "version int, committed_at timestamp_ntz, rows long")
+    log.coalesce(1).write.mode("append").parquet(_log_path(base))
     return version
 
 
 def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
     """Publish only when the upsert changed something (skip no-op writes)."""
-    if CHANGE in tagged.columns and tagged.where(F.col(CHANGE) != "keep").isEmpty():
+    if CHANGE in tagged.columns and tagged.where(F.col(CHANGE) != F.lit(KEEP)).isEmpty():
         return None
     return publish(tagged, base, committed_at)
 
@@ -52,4 +60,6 @@ def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime) ->
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """The table at ``version`` (default: newest)."""
     v = latest_version(spark, base) if version is None else version
-    return spark.read.parquet(base).where(F.col("version") == F.lit(v)).drop("version", "committed_at")
+    if v is None:
+        raise ValueError(f"no published version under {base}")
+    return spark.read.parquet(f"{base}/version={v}")

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import rollup, scd, state
-from ..schemas import FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_KEY, OBSERVATION_ORDER
+from ..schemas import (ADDITIVE_FIELDS, FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_KEY,
+                       OBSERVATION_ORDER)
+from ..sources import payload
 
 
 def silver(obs: DataFrame) -> DataFrame:
@@ -26,6 +28,23 @@ def merge_silver(current: DataFrame, stage: DataFrame) -> DataFrame:
                                backfill=LABEL_COLUMNS)
 
 
+def bronze_to_silver(current: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Parse a window of landed payloads and merge it into the silver state.
+
+    The additive-field decision (a schema change) is taken before the merge
+    by ``payload.saw_field_in`` (a substring pre-filter, then an exact check
+    on the few candidate bodies).  Returns the tagged next state.
+    """
+    additive = [f.name for f in ADDITIVE_FIELDS]
+    obs = payload.observations(payload.parse(payloads, additive))
+    for f in ADDITIVE_FIELDS:
+        saw = payload.saw_field_in(payloads, f.name)
+        if not saw:
+            obs = obs.drop(f.name)
+    cur, stage = state.evolve(current, obs, ADDITIVE_FIELDS)
+    return merge_silver(cur, stage)
+
+
 def fact_stage(silver_state: DataFrame) -> DataFrame:
     return (silver_state.where((F.col("quality_status") == "valid") & F.col("delay_minutes").isNotNull())
             .select(*FACT_COLUMNS))

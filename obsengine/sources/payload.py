@@ -58,6 +58,16 @@ def saw_field(records: DataFrame, name: str) -> DataFrame:
                                   F.lit(False)).alias("saw"))
 
 
+def saw_field_in(payloads: DataFrame, name: str, body: str = "body") -> bool:
+    """Does any object element of any payload carry ``name``?  Only bodies
+    whose text contains the key (or a ``\\u`` escape that could spell it)
+    are parsed, so the check costs one scan, not a second full parse."""
+    text_ = F.col(body).cast("string")
+    candidates = payloads.where(text_.contains(f'"{name}"') | text_.contains("\\u"))
+    recs = explode_records(decode(candidates, body))
+    return bool(saw_field(recs, name).first()["saw"])
+
+
 def _leaves(records: DataFrame, additive: Sequence[str]) -> DataFrame:
     """Step 1: pull every VARIANT leaf the contract reads into its own column
     (each leaf is then typed once, and generated code stays small)."""
