@@ -91,6 +91,16 @@ def upsert_changed(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
     return out if keep_missing else out.where(F.col(CHANGE) != F.lit(DELETE))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the cluster's shared checkpoint folder and cut
+    its lineage, so several consumers read the result instead of each
+    recomputing it (and a lost executor re-reads files, not the whole plan).
+    A reliable checkpoint: never a node-local one."""
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def current(tagged: DataFrame) -> DataFrame:
     """Drop the change tag (and deleted rows) → plain state."""
     if CHANGE not in tagged.columns:

@@ -2,7 +2,8 @@
 operator of the inventory, each over the whole driver tables.
 
 Fixed parameters of the registered scenarios (cut instants, as-of times)
-live in ``params``; the DuckDB oracle in ``oracle.py`` uses the same values.
+live at the top of this module; the DuckDB oracle in ``oracle.py`` uses the
+same values.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def _nulled_labels(df: DataFrame) -> DataFrame:
 
 
 def upsert_backfill(spark, sf):
-    silver = _silver(spark, sf)
+    silver = state.materialize(_silver(spark, sf))
     stage = silver.where(F.substring("flight_instance_key", 3, 1) < "8")
     return state.current(pipeline.merge_silver(_nulled_labels(silver), stage))
 
@@ -189,12 +190,12 @@ def scd2_two_role_stage(spark, sf):
 
 # -- quality (N1–N6, G7, A17) ------------------------------------------------
 
-def _gold(spark, sf) -> pipeline.Gold:
-    return pipeline.gold_from_silver(_silver(spark, sf))
+def _gold(spark, sf, silver=None) -> pipeline.Gold:
+    return pipeline.gold_from_silver(silver if silver is not None else _silver(spark, sf))
 
 
 def quality_checks(spark, sf):
-    g = _gold(spark, sf)
+    g = _gold(spark, sf, state.materialize(_silver(spark, sf)))
     airline_dim = scd.history(_obs(spark, sf), "airline_iata", "airline_name", "airline",
                               tiebreak=("source_file", "payload_sha256"))
     fact_check = quality.check(g.fact, {
@@ -219,9 +220,13 @@ def duplicate_observation_keys(spark, sf):
 
 
 def table_counts(spark, sf):
-    g = _gold(spark, sf)
+    silver = state.materialize(_silver(spark, sf))
+    g = _gold(spark, sf, silver)
+    fact = state.materialize(g.fact)
+    g = pipeline.Gold(fact, g.airline_dim, g.airport_dim, pipeline.airline_rollup(fact),
+                      pipeline.airport_rollup(fact))
     return quality.table_counts({
-        "observations": _obs(spark, sf), "silver": _silver(spark, sf), "fact": g.fact,
+        "observations": _obs(spark, sf), "silver": silver, "fact": g.fact,
         "airline_dim": g.airline_dim, "airport_dim": g.airport_dim,
         "airline_hour": g.airline_hour, "airport_hour": g.airport_hour})
 
