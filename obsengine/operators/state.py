@@ -39,8 +39,13 @@ def _greater(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return F.struct(*left) > F.struct(*right)
 
 
+# Stage rows up to which a stage is broadcast to the state (checked by count).
+BROADCAST_STAGE_ROWS = 2_000_000
+
+
 def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
-                  order: Sequence[str], backfill: Sequence[str] = ()) -> DataFrame:
+                  order: Sequence[str], backfill: Sequence[str] = (),
+                  small_stage: bool = False, stage_is_latest: bool = False) -> DataFrame:
     """Monotone newest-wins upsert (never deletes).
 
     The stage is first reduced to its latest row per key.  A stage row
@@ -49,25 +54,55 @@ def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
     the stage; a new key is inserted; older arrivals are ignored.  Without
     back-fill this is associative and commutative over batches, so replays
     and out-of-order batches give the same state.
+
+    Plans: by default a full outer join on the key (both sides shuffled —
+    right when the stage is as large as the state).  With ``small_stage``
+    (the caller has checked the stage size, see ``upsert_latest_sized``) the
+    stage is broadcast: the state is probed in place and never shuffled.
     """
     keys = _names(key)
     cols = [c for c in state.columns if c != CHANGE]
-    stage = latest_per_key(stage.select(*cols), keys, order)
+    stage = stage.select(*cols)
+    if not stage_is_latest:
+        stage = latest_per_key(stage, keys, order)
+    s = stage.withColumn("_in_s", F.lit(True))
     t = state.select(*cols).withColumn("_in_t", F.lit(True)).alias("t")
-    s = stage.withColumn("_in_s", F.lit(True)).alias("s")
+    s = (F.broadcast(s) if small_stage else s).alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
-    j = t.join(s, cond, "full_outer")
     t_ord = [F.col(f"t.{c}") for c in order]
     s_ord = [F.col(f"s.{c}") for c in order]
     fill = F.lit(False)
     for c in backfill:
         fill = fill | (F.col(f"t.{c}").isNull() & F.col(f"s.{c}").isNotNull())
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
-    take_s = ~in_t | (in_s & (_greater(s_ord, t_ord) |
-                              ((F.struct(*s_ord) == F.struct(*t_ord)) & fill)))
+    newer = in_s & (_greater(s_ord, t_ord) | ((F.struct(*s_ord) == F.struct(*t_ord)) & fill))
+    take_s = ~in_t | newer
     tag = F.when(~in_t, F.lit(INSERT)).when(take_s, F.lit(UPDATE)).otherwise(F.lit(KEEP))
-    return j.select(*[F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                      for c in cols], tag.alias(CHANGE))
+    pick = [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
+    if not small_stage:
+        return t.join(s, cond, "full_outer").select(*pick, tag.alias(CHANGE))
+    # state rows, each with its stage candidate: broadcast hash join, no shuffle
+    probed = t.join(s, cond, "left").select(*pick, tag.alias(CHANGE))
+    # new keys: stage keys absent from the state (key-only scan, broadcast semi join)
+    existing = state.select(*keys).join(F.broadcast(stage.select(*keys)), keys, "left_semi")
+    # ``existing`` is bounded by the (checked) stage size, so it may be broadcast
+    inserted = stage.join(F.broadcast(existing), keys, "left_anti").select(
+        *cols, F.lit(INSERT).alias(CHANGE))
+    return probed.unionByName(inserted)
+
+
+def upsert_latest_sized(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
+                        order: Sequence[str], backfill: Sequence[str] = (),
+                        max_broadcast_rows: int = BROADCAST_STAGE_ROWS) -> DataFrame:
+    """``upsert_latest`` with a checked plan: the latest stage is written once
+    to the shared checkpoint folder and counted; it is broadcast only when it
+    has at most ``max_broadcast_rows`` rows, else both sides are shuffled."""
+    keys = _names(key)
+    cols = [c for c in state.columns if c != CHANGE]
+    latest = materialize(latest_per_key(stage.select(*cols), keys, order))
+    small = latest.count() <= max_broadcast_rows
+    return upsert_latest(state, latest, keys, order, backfill, small_stage=small,
+                         stage_is_latest=True)
 
 
 def upsert_changed(state: DataFrame, stage: DataFrame, key: str | Sequence[str],

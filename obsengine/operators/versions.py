@@ -29,6 +29,16 @@ def versions(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(_log_path(base)).select("version", "committed_at")
 
 
+def committed_batch(spark: SparkSession, base: str, batch_id: int) -> bool:
+    """True when a stream micro-batch with this id was already published
+    (a replayed batch after a failure must not publish twice)."""
+    try:
+        log = spark.read.parquet(_log_path(base))
+    except AnalysisException:
+        return False
+    return not log.where(F.col("batch_id") == F.lit(batch_id)).isEmpty()
+
+
 def latest_version(spark: SparkSession, base: str) -> int | None:
     try:
         row = spark.read.parquet(_log_path(base)).agg(F.max("version").alias("v")).first()
@@ -37,24 +47,24 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
     return None if row is None else row["v"]
 
 
-def publish(df: DataFrame, base: str, committed_at: datetime) -> int:
+def publish(df: DataFrame, base: str, committed_at: datetime, batch_id: int | None = None) -> int:
     """Write ``df`` (tags dropped) as the next version; returns its number."""
     spark = df.sparkSession
     last = latest_version(spark, base)
     version = 0 if last is None else last + 1
     current(df).write.mode("overwrite").parquet(f"{base}/version={version}")
-    rows = spark.read.parquet(f"{base}/version={version}").count()
-    log = spark.createDataFrame([(version, committed_at, rows)],
-                                "version int, committed_at timestamp_ntz, rows long")
+    log = spark.createDataFrame([(version, committed_at, batch_id)],
+                                "version int, committed_at timestamp_ntz, batch_id long")
     log.coalesce(1).write.mode("append").parquet(_log_path(base))
     return version
 
 
-def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
+def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime,
+                       batch_id: int | None = None) -> int | None:
     """Publish only when the upsert changed something (skip no-op writes)."""
     if CHANGE in tagged.columns and tagged.where(F.col(CHANGE) != F.lit(KEEP)).isEmpty():
         return None
-    return publish(tagged, base, committed_at)
+    return publish(tagged, base, committed_at, batch_id)
 
 
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:

@@ -23,11 +23,18 @@ def silver(obs: DataFrame) -> DataFrame:
 
 
 def merge_silver(current: DataFrame, stage: DataFrame) -> DataFrame:
-    """One silver merge with label back-fill (tagged)."""
+    """One silver merge with label back-fill (tagged); both sides shuffled."""
     return state.upsert_latest(current, stage, OBSERVATION_KEY, OBSERVATION_ORDER,
                                backfill=LABEL_COLUMNS)
 
 
+def merge_silver_incremental(current: DataFrame, stage: DataFrame) -> DataFrame:
+    """Silver merge for a look-back window: the stage size is checked and a
+    small stage is broadcast, so the large state is never shuffled."""
+    return state.upsert_latest_sized(current, stage, OBSERVATION_KEY, OBSERVATION_ORDER,
+                                     backfill=LABEL_COLUMNS)
+
+
 def bronze_to_silver(current: DataFrame, payloads: DataFrame) -> DataFrame:
     """Parse a window of landed payloads and merge it into the silver state.
 
@@ -42,7 +49,7 @@ def bronze_to_silver(current: DataFrame, payloads: DataFrame) -> DataFrame:
         if not saw:
             obs = obs.drop(f.name)
     cur, stage = state.evolve(current, obs, ADDITIVE_FIELDS)
-    return merge_silver(cur, stage)
+    return merge_silver_incremental(cur, stage)
 
 
 def fact_stage(silver_state: DataFrame) -> DataFrame:

@@ -123,3 +123,24 @@ def test_versions_publish_and_time_travel(spark, tmp_path):
     assert [r.v for r in versions.read_version(spark, base).collect()] == [2]
     vs = sorted((r.version, r.committed_at) for r in versions.versions(spark, base).collect())
     assert vs == [(0, T0), (1, T0 + timedelta(hours=1))]
+
+
+def test_broadcast_plan_equals_shuffle_plan(spark):
+    for seed in range(3):
+        bs = random_batches(seed + 10)
+        st = state.current(state.upsert_latest(batch(spark, []), batch(spark, bs[0]), "k", ORDER))
+        stage = batch(spark, bs[1] + bs[2])
+        a = state.upsert_latest(st, stage, "k", ORDER, backfill=["label"])
+        b = state.upsert_latest(st, stage, "k", ORDER, backfill=["label"], small_stage=True)
+        c = state.upsert_latest_sized(st, stage, "k", ORDER, backfill=["label"])
+        key = lambda r: repr(r)
+        assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
+        assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, c.collect()), key=key)
+
+
+def test_broadcast_plan_does_not_shuffle_state(spark):
+    st = batch(spark, [("a", 1, "A", T0, "s", "f")])
+    stage = batch(spark, [("a", 2, "A", T0 + timedelta(hours=1), "s", "f")])
+    plan = state.upsert_latest(st, stage, "k", ORDER, small_stage=True)._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
