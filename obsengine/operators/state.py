@@ -126,14 +126,15 @@ def upsert_changed(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
     return out if keep_missing else out.where(F.col(CHANGE) != F.lit(DELETE))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the cluster's shared checkpoint folder and cut
-    its lineage, so several consumers read the result instead of each
-    recomputing it (and a lost executor re-reads files, not the whole plan).
-    A reliable checkpoint: never a node-local one."""
-    from ..session import shared_dir
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as parquet under the cluster's shared checkpoint
+    folder and read it back: lineage is cut, several consumers read files
+    instead of recomputing the plan, and a lost executor re-reads files.
+    (One columnar write; a reliable RDD checkpoint would compute twice.)"""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def current(tagged: DataFrame) -> DataFrame:

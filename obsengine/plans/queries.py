@@ -25,6 +25,7 @@ from . import pipeline, serve
 CUT = "1998-01-01 00:00:00"          # early batch < CUT <= late batch
 AS_OF = "1998-06-30 00:00:00"        # as-of read of the observation log
 RECENT = "1997-01-01 00:00:00"       # stage of the keep-missing rollup upsert
+WINDOW_START = "2001-09-01 00:00:00"  # a short look-back window merged incrementally
 LOOKBACK_AS_OF = "2024-01-20 00:00:00"
 LOOKBACK_HOURS = 48
 DETAIL_ROWS = 500
@@ -139,6 +140,15 @@ def upsert_backfill(spark, sf):
     return state.current(pipeline.merge_silver(_nulled_labels(silver), stage))
 
 
+def upsert_incremental(spark, sf):
+    """A short look-back window merged into the state built from everything
+    before it: the size-checked plan broadcasts the window (tags kept)."""
+    start = F.lit(WINDOW_START).cast("timestamp_ntz")
+    before = pipeline.silver(_obs(spark, sf).where(F.col("observed_at") < start))
+    window = _obs(spark, sf).where(F.col("observed_at") >= start)
+    return pipeline.merge_silver_incremental(before, window)
+
+
 def fact_upsert(spark, sf):
     fact0 = pipeline.fact_stage(pipeline.silver(_early(spark, sf)))
     return state.current(pipeline.merge_fact(fact0, _silver(spark, sf), FACT_ORDER))
@@ -188,6 +198,27 @@ def scd2_two_role_stage(spark, sf):
     return pipeline.airport_stage(_silver(spark, sf))
 
 
+def rollup_rows(spark, sf):
+    """Hourly airline rollup rows ordered by airline and hour (O9)."""
+    return serve.rollup_rows(pipeline.airline_rollup(_fact(spark, sf)), "airline_iata")
+
+
+def dim_history(spark, sf):
+    """Airport dimension history ordered by code and start (O10): SCD2 over
+    both airport roles of the observation log."""
+    obs = _obs(spark, sf)
+    roles = obs.select(F.inline(F.array(
+        F.struct(F.col("departure_airport_iata").alias("airport_iata"),
+                 F.col("departure_airport_name").alias("airport_name"),
+                 "observed_at", "source_file", "payload_sha256"),
+        F.struct(F.col("arrival_airport_iata").alias("airport_iata"),
+                 F.col("arrival_airport_name").alias("airport_name"),
+                 "observed_at", "source_file", "payload_sha256"))))
+    hist = scd.history(roles, "airport_iata", "airport_name", "airport",
+                       tiebreak=("source_file", "payload_sha256", "airport_name"))
+    return serve.dim_history(hist, "airport_iata")
+
+
 # -- quality (N1–N6, G7, A17) ------------------------------------------------
 
 def _gold(spark, sf, silver=None) -> pipeline.Gold:
@@ -379,6 +410,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_two_batches": upsert_two_batches,
     "upsert_metrics": upsert_metrics,
     "upsert_backfill": upsert_backfill,
+    "upsert_incremental": upsert_incremental,
     "fact_upsert": fact_upsert,
     "agg_upsert_changed": agg_upsert_changed,
     "agg_upsert_keep_missing": agg_upsert_keep_missing,
@@ -386,6 +418,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_history": scd2_history,
     "scd2_merge_step": scd2_merge_step,
     "scd2_two_role_stage": scd2_two_role_stage,
+    "rollup_rows": rollup_rows,
+    "dim_history": dim_history,
     "quality_checks": quality_checks,
     "duplicate_observation_keys": duplicate_observation_keys,
     "table_counts": table_counts,
