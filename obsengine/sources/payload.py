@@ -102,10 +102,11 @@ def _typed(leaves: DataFrame, additive: Sequence[str]) -> DataFrame:
     layer's columns, so each value (string view, parsed time, chosen delay)
     is computed once instead of being re-expanded inside its own checks."""
     c = F.col
-    strings = [*_CODES, *_LABELS, *_TIMES, *[f"_x_{a}" for a in additive]]
+    strings = [*_CODES, *_LABELS, *[f"_x_{a}" for a in additive]]
     l1 = leaves.select(
         "*",
         *[variant.string_value(c(n)).alias(f"{n}_s") for n in strings],
+        *[F.try_variant_get(c(n), "$", "string").alias(f"{n}_s") for n in _TIMES],
         *[variant.is_missing(c(n)).alias(f"{n}_m") for n in _TIMES],
         F.when(variant.is_missing(c("_arr_delay")), c("_dep_delay"))
         .otherwise(c("_arr_delay")).alias("_dv"),
@@ -158,7 +159,11 @@ def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",))
         return F.when(whole, c)
 
     key = keys.instance_key(F.col("flight_iata"), F.col("departure_airport_iata"), F.col("_sd.value"))
-    return typed.withColumn("quality_reason", reason).select(
+    # The routed row is emitted through a one-element ``inline``: predicates
+    # on its columns (``quality_status = ...``) then stay above the generator
+    # instead of being pushed down and re-expanding every typing layer inside
+    # the filter, so each record is typed exactly once.
+    return typed.withColumn("quality_reason", reason).select(F.inline(F.array(F.struct(
         F.when(bad, keys.quarantine_key(F.col("payload_sha256"), F.col("pos")))
         .otherwise(key).alias("flight_instance_key"),
         *[kept(F.col(c)).alias(c) for c in ("flight_iata", "flight_status", "airline_iata",
@@ -179,7 +184,7 @@ def normalize(records: DataFrame, additive: Sequence[str] = ("aircraft_type",))
         *[kept(F.col(a)).alias(a) for a in additive],
         *[F.coalesce(kept(F.col(f"_saw_{a}")), F.lit(False)).alias(f"_saw_{a}") for a in additive],
         F.col("pos"),
-    )
+    ))))
 
 
 def parse(payloads: DataFrame, additive: Sequence[str] = ("aircraft_type",),
