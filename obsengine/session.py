@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+BROADCAST_BYTES = 1 << 20
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
@@ -29,6 +30,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast only sides proven tiny (planner statistics / AQE runtime
+        # size under 1 MB); everything larger is a shuffled join, which is the
+        # plan every fact-to-dimension join takes at cluster scale anyway.
+        # Explicit broadcasts happen only behind a row-count check.
+        .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.driver.memory", os.environ.get("OBSENGINE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
