@@ -474,6 +474,12 @@ SELECT {pick},
        CASE WHEN t.flight_instance_key IS NULL THEN 'insert'
             WHEN s.flight_instance_key IS NOT NULL AND {newer} THEN 'update' ELSE 'keep' END AS _change
 FROM before_state t FULL OUTER JOIN window_stage s ON t.flight_instance_key = s.flight_instance_key"""
+    q["partitioned_upsert"] = GOLD + "SELECT * FROM silver"
+    q["partitioned_manifest"] = _with(FLIGHT_OBS, _latest("flight_obs", "silver")) + f"""
+SELECT strftime(scheduled_departure_at, '%Y-%m') AS part,
+       CAST(MAX(CASE WHEN observed_at >= TIMESTAMP '{WINDOW_START}' THEN 1 ELSE 0 END) AS INTEGER)
+         AS data_version
+FROM silver GROUP BY 1"""
     fact2 = _with(FLIGHT_OBS, _latest("flight_obs", "silver"),
                   _latest("flight_obs", "silver_early", _EARLY),
                   _fact("silver", "fact"), _fact("silver_early", "fact_early"))

@@ -149,6 +149,29 @@ def upsert_incremental(spark, sf):
     return pipeline.merge_silver_incremental(before, window)
 
 
+def _partitioned(spark, sf) -> str:
+    """State before the window published as date partitions, then the window
+    merged in: only partitions holding window keys are read and rewritten."""
+    base = scratch_path(spark, "silver_parts")
+    start = F.lit(WINDOW_START).cast("timestamp_ntz")
+    pipeline.merge_into_partitions(base, _obs(spark, sf).where(F.col("observed_at") < start),
+                                   _ts(WINDOW_START), grain="month")
+    pipeline.merge_into_partitions(base, _obs(spark, sf).where(F.col("observed_at") >= start),
+                                   _ts("2002-01-01 00:00:00"), grain="month")
+    return base
+
+
+def partitioned_upsert(spark, sf):
+    return versions.read_partitions(spark, _partitioned(spark, sf))
+
+
+def partitioned_manifest(spark, sf):
+    """Which version holds each month partition after the incremental merge."""
+    base = _partitioned(spark, sf)
+    return (spark.read.parquet(base + "_manifest").where(F.col("version") == 1)
+            .select(F.col("_part").alias("part"), "data_version"))
+
+
 def fact_upsert(spark, sf):
     fact0 = pipeline.fact_stage(pipeline.silver(_early(spark, sf)))
     return state.current(pipeline.merge_fact(fact0, _silver(spark, sf), FACT_ORDER))
@@ -411,6 +434,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_metrics": upsert_metrics,
     "upsert_backfill": upsert_backfill,
     "upsert_incremental": upsert_incremental,
+    "partitioned_upsert": partitioned_upsert,
+    "partitioned_manifest": partitioned_manifest,
     "fact_upsert": fact_upsert,
     "agg_upsert_changed": agg_upsert_changed,
     "agg_upsert_keep_missing": agg_upsert_keep_missing,

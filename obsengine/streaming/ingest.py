@@ -2,8 +2,9 @@
 
 ``readStream.format("binaryFile")`` picks up new landed files; each
 micro-batch runs the same DataFrame step as the batch pipeline
-(``pipeline.bronze_to_silver``: parse → evolve → newest-wins upsert) inside
-``foreachBatch`` and publishes a new version only when something changed.
+(``pipeline.merge_payloads_into``: parse → evolve → newest-wins upsert)
+inside ``foreachBatch``; only the state partitions the batch touches are
+read and rewritten, and nothing is published when nothing changed.
 The upsert is order-free and idempotent, and a replayed micro-batch is
 recognised by its batch id in the commit log, so a restart after a failure
 neither loses nor double-publishes a batch.  Stream progress lives in a
@@ -18,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import state, versions
+from ..operators import versions
 from ..plans import pipeline
-from ..schemas import OBSERVATION, empty
 from ..session import ensure_utc, shared_dir
 
 # Fixed schema of Spark's binaryFile source.
@@ -51,13 +51,8 @@ def _merge_batch(base: str):
         spark = batch.sparkSession
         if versions.committed_batch(spark, base, batch_id):
             return
-        if versions.latest_version(spark, base) is None:
-            current = empty(spark, OBSERVATION)
-        else:
-            current = versions.read_version(spark, base)
-        tagged = pipeline.bronze_to_silver(current, batch)
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        versions.publish_if_changed(tagged, base, now, batch_id)
+        pipeline.merge_payloads_into(base, batch, now, batch_id)
     return run
 
 
@@ -78,5 +73,5 @@ def start_silver_stream(spark: SparkSession, landing_dir: str, base: str,
 
 
 def current_state(spark: SparkSession, base: str) -> DataFrame:
-    """The newest published silver version (tags already dropped)."""
-    return state.current(versions.read_version(spark, base))
+    """The newest published silver version (all partitions)."""
+    return versions.read_partitions(spark, base)

@@ -1,6 +1,7 @@
 """State operators: newest-wins upsert properties, back-fill, change-detecting
 upsert, as-of reads, evolution, versions."""
 import itertools
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -144,3 +145,28 @@ def test_broadcast_plan_does_not_shuffle_state(spark):
     plan = state.upsert_latest(st, stage, "k", ORDER, small_stage=True)._jdf \
         .queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_partitioned_versions_rewrite_only_touched(spark, tmp_path):
+    base = str(tmp_path / "pstate")
+    part = F.to_date("observed_at")
+    day = lambda d, h=0: datetime(2026, 1, d, h)
+    first = batch(spark, [("a", 1, "A", day(1), "s", "f"), ("b", 2, "B", day(2), "s", "f")])
+    v0 = versions.publish_partitions(state.upsert_latest(batch(spark, []), first, "k", ORDER),
+                                     base, day(3), part)
+    assert v0 == 0
+    # a change on day 2 only: read and rewrite that partition, carry day 1
+    cur = versions.read_partitions(spark, base, ["2026-01-02"])
+    assert [r.k for r in cur.collect()] == ["b"]
+    tagged = state.upsert_latest(cur, batch(spark, [("b", 5, "B", day(2, 5), "s", "f")]), "k", ORDER)
+    # partition is fixed by the key here only if the day stays; it does
+    v1 = versions.publish_partitions(tagged, base, day(4), part)
+    assert v1 == 1
+    assert os.listdir(f"{base}/version=1") and not os.path.exists(f"{base}/version=1/_part=2026-01-01")
+    got = sorted((r.k, r.v) for r in versions.read_partitions(spark, base).collect())
+    assert got == [("a", 1), ("b", 5)]
+    assert sorted((r.k, r.v) for r in versions.read_partitions(spark, base, version=0).collect()) == [("a", 1), ("b", 2)]
+    # no-op publishes nothing
+    noop = state.upsert_latest(versions.read_partitions(spark, base, ["2026-01-02"]),
+                               batch(spark, [("b", 5, "B", day(2, 5), "s", "f")]), "k", ORDER)
+    assert versions.publish_partitions(noop, base, day(5), part) is None
