@@ -48,8 +48,11 @@ def flight_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # orders ⋈ customer first (an orders-sized shuffle), then one lineitem
+    # shuffle by order key; the supplier lookup is the second and last
+    # lineitem-sized shuffle (or a broadcast when supplier is proven tiny)
+    oc = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderdate", "c_nationkey")
+    j = (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
     flight = F.concat(F.lit("FL"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
     dep = F.concat(F.lit("P"), F.col("c_nationkey"))
