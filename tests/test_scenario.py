@@ -93,3 +93,23 @@ def test_assert_all_raises_with_counts(spark):
     df = spark.createDataFrame([(1,), (-1,)], "d int")
     with pytest.raises(RuntimeError, match="negative"):
         quality.assert_all(quality.check(df, {"negative": F.col("d") < 0}))
+
+
+def test_partitioned_merge_with_evolution(spark, tmp_path):
+    base = str(tmp_path / "silver_parts")
+    v0 = pipeline.merge_payloads_into(base, window(spark, 1), T1)
+    v1 = pipeline.merge_payloads_into(base, window(spark, 2).where(F.col("observed_at") == T2), T2)
+    assert (v0, v1) == (0, 1)
+    from obsengine.operators import versions as V
+    old = V.read_partitions(spark, base, version=0)
+    assert "aircraft_type" not in old.columns
+    r = V.read_partitions(spark, base).first()
+    assert (r.aircraft_type, r.delay_minutes, r.observed_at) == ("a321neo", 27, T2)
+    # the late correction lacks the field: NULL once evolved; replaying it is a no-op
+    late = window(spark, 3).where(F.col("observed_at") == T3)
+    assert pipeline.merge_payloads_into(base, late, T3) == 2
+    assert pipeline.merge_payloads_into(base, late, T3) is None
+    r = V.read_partitions(spark, base).first()
+    assert (r.aircraft_type, r.delay_minutes) == (None, 41)
+    parts = spark.read.parquet(base + "_manifest").where("version = 2").collect()
+    assert [(p._part, p.data_version) for p in parts] == [("2026-08-20", 2)]
