@@ -420,6 +420,7 @@ FROM silver WHERE quality_status = 'valid' AND delay_minutes IS NOT NULL
 ORDER BY scheduled_departure_at DESC NULLS LAST, delay_minutes DESC NULLS LAST, flight_instance_key
 LIMIT {DETAIL_ROWS}"""
     q["agg_airline_hour"] = GOLD + "SELECT * FROM airline_hour"
+    q["rollup_refresh"] = GOLD + "SELECT * FROM airline_hour"
     q["agg_airport_hour"] = GOLD + "SELECT * FROM airport_hour"
     q["latest_per_key"] = GOLD + "SELECT * FROM silver"
     as_of = _with(FLIGHT_OBS, _latest("flight_obs", "old", f"observed_at <= TIMESTAMP '{AS_OF}'"),

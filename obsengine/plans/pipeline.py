@@ -168,6 +168,25 @@ def gold_from_silver(silver_state: DataFrame, previous: Gold | None = None,
 _MEASURES = ["total_flights", "delayed_flights", "delay_rate", "average_delay_minutes"]
 
 
+def gold_incremental(silver_state: DataFrame, previous: Gold,
+                     keep_missing_groups: bool = False) -> Gold:
+    """Gold from a new silver state and the previous gold, incrementally:
+    the fact is upserted (tagged once, written once), dimensions take one
+    SCD2 step, and rollups recompute only hours holding a changed fact row."""
+    tagged = state.materialize(merge_fact(previous.fact, silver_state))
+    changed = tagged.where(F.col(state.CHANGE) != F.lit(state.KEEP))
+    fact = state.current(tagged)
+    return Gold(
+        fact,
+        scd.merge(previous.airline_dim, airline_stage(silver_state), "airline_iata", "airline_name", "airline"),
+        scd.merge(previous.airport_dim, airport_stage(silver_state), "airport_iata", "airport_name", "airport"),
+        state.current(rollup.refresh(previous.airline_hour, fact, changed, "airline_iata",
+                                     keep_missing=keep_missing_groups)),
+        state.current(rollup.refresh(previous.airport_hour, fact, changed, "departure_airport_iata",
+                                     "airport_iata", keep_missing=keep_missing_groups)),
+    )
+
+
 def _empty_dim(like: DataFrame, table: str) -> DataFrame:
     from ..schemas import AIRLINE_DIM, AIRPORT_DIM
     schema = AIRLINE_DIM if table == "airline" else AIRPORT_DIM

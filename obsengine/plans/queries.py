@@ -194,6 +194,13 @@ def agg_upsert_keep_missing(spark, sf):
                                 ROLLUP_MEASURES, keep_missing=True)
 
 
+def rollup_refresh(spark, sf):
+    """Gold built from the early state, then refreshed incrementally with the
+    full state: only hours holding a changed fact row are recomputed."""
+    previous = pipeline.gold_from_silver(pipeline.silver(_early(spark, sf)))
+    return pipeline.gold_incremental(_silver(spark, sf), previous).airline_hour
+
+
 def schema_evolution_union(spark, sf):
     """Stage carries the additive field; the state gains it (old rows NULL)."""
     old = pipeline.silver(_early(spark, sf))
@@ -439,6 +446,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_upsert": fact_upsert,
     "agg_upsert_changed": agg_upsert_changed,
     "agg_upsert_keep_missing": agg_upsert_keep_missing,
+    "rollup_refresh": rollup_refresh,
     "schema_evolution_union": schema_evolution_union,
     "scd2_history": scd2_history,
     "scd2_merge_step": scd2_merge_step,

@@ -74,6 +74,10 @@ def test_scenario(spark, tmp_path):
     assert sorted(r.effective_to for r in ap if not r.is_current) == [T4, T4]
     assert [tuple(r) for r in g2.airline_hour.collect()] == [("EA", hour, 1, 1, 1.0, 41.0)]
     assert g2.fact.count() == 1
+    inc = pipeline.gold_incremental(silver2, g)
+    for a, b in [(inc.airline_hour, g2.airline_hour), (inc.airport_hour, g2.airport_hour),
+                 (inc.airline_dim, g2.airline_dim), (inc.fact, g2.fact)]:
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
     # gold invariants hold; gold rerun changes nothing
     checks = quality.union_checks(
