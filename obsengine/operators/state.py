@@ -39,8 +39,23 @@ def _greater(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return F.struct(*left) > F.struct(*right)
 
 
-# Stage rows up to which a stage is broadcast to the state (checked by count).
-BROADCAST_STAGE_ROWS = 2_000_000
+# Bytes up to which a stage is broadcast to the state, checked as
+# rows × estimated row width (see ``row_width``).
+BROADCAST_STAGE_BYTES = 64 << 20
+
+
+_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Conservative in-memory width of a row (variable-width fields at 48 bytes)."""
+    return 16 + sum(_FIXED_WIDTH.get(f.dataType.typeName(), 48) for f in schema.fields)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_STAGE_BYTES) -> bool:
+    """Size check before an explicit broadcast: count × estimated row width."""
+    return df.count() * row_width(df.schema) <= max_bytes
 
 
 def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
@@ -93,14 +108,15 @@ def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
 
 def upsert_latest_sized(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
                         order: Sequence[str], backfill: Sequence[str] = (),
-                        max_broadcast_rows: int = BROADCAST_STAGE_ROWS) -> DataFrame:
+                        max_broadcast_bytes: int = BROADCAST_STAGE_BYTES) -> DataFrame:
     """``upsert_latest`` with a checked plan: the latest stage is written once
-    to the shared checkpoint folder and counted; it is broadcast only when it
-    has at most ``max_broadcast_rows`` rows, else both sides are shuffled."""
+    to the shared checkpoint folder and counted; it is broadcast only when its
+    estimated size is at most ``max_broadcast_bytes``, else both sides are
+    shuffled."""
     keys = _names(key)
     cols = [c for c in state.columns if c != CHANGE]
     latest = materialize(latest_per_key(stage.select(*cols), keys, order))
-    small = latest.count() <= max_broadcast_rows
+    small = fits_broadcast(latest, max_broadcast_bytes)
     return upsert_latest(state, latest, keys, order, backfill, small_stage=small,
                          stage_is_latest=True)
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -127,26 +127,30 @@ def read_partitions(spark: SparkSession, base: str, parts: list[str] | None = No
 
 def publish_partitions(tagged: DataFrame, base: str, committed_at: datetime, part: Column,
                        batch_id: int | None = None) -> int | None:
-    """Publish a merge result, rewriting only partitions with a change.
+    """Publish a merge result, rewriting only the partitions it holds.
 
     ``tagged`` must hold every row of the partitions it touches (e.g. an
     upsert of ``read_partitions(..., parts)`` with a stage whose keys fall in
-    ``parts``).  Unchanged partitions are carried by reference.  Returns the
-    new version, or None for a no-op.
+    ``parts``); other partitions are carried by reference.  One job: the
+    change count and the written partition set are observed during the
+    write; a no-op is not committed (its folder is overwritten by the next
+    publish).  Returns the new version, or None for a no-op.
     """
     spark = tagged.sparkSession
     prev = latest_version(spark, base)
     version = 0 if prev is None else prev + 1
     df = tagged.withColumn(PART, part_value(part))
-    changed = df.where(F.col(CHANGE) != F.lit(KEEP)) if CHANGE in df.columns else df
-    touched = [r[PART] for r in changed.select(PART).distinct().collect()]
-    if not touched and prev is not None:
+    changed = (F.count_if(F.col(CHANGE) != F.lit(KEEP)) if CHANGE in df.columns
+               else F.count(F.lit(1)))
+    seen = Observation(f"publish-{version}")
+    df = df.observe(seen, changed.alias("changes"), F.collect_set(PART).alias("parts"))
+    # rebalance: AQE splits a hot partition across tasks and packs small ones
+    (current(df).hint("rebalance", PART)
+     .write.mode("overwrite").partitionBy(PART).parquet(f"{base}/version={version}"))
+    metrics = seen.get
+    if prev is not None and metrics["changes"] == 0:
         return None
-    rows = current(df.where(F.col(PART).isin(touched)))
-    # range-partition by (partition, row hash): each partition is written by
-    # few tasks (few files), and a hot partition still splits across tasks
-    rows = rows.repartitionByRange(F.col(PART), F.xxhash64(*rows.columns))
-    rows.write.mode("overwrite").partitionBy(PART).parquet(f"{base}/version={version}")
+    touched = list(metrics["parts"])
     new = spark.createDataFrame([(version, p, version) for p in touched],
                                 "version int, _part string, data_version int")
     if prev is not None:

@@ -72,7 +72,7 @@ def merge_into_partitions(base: str, obs: DataFrame, committed_at,
     """
     spark = obs.sparkSession
     stage = state.materialize(state.latest_per_key(obs, OBSERVATION_KEY, OBSERVATION_ORDER))
-    small = stage.count() <= state.BROADCAST_STAGE_ROWS
+    small = state.fits_broadcast(stage)
     part = silver_partition(grain)
     parts = [r[0] for r in stage.select(versions.part_value(part).alias("p")).distinct().collect()]
     current = versions.read_partitions(spark, base, parts)
