@@ -160,6 +160,13 @@ def current(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(CHANGE) != F.lit(DELETE)).drop(CHANGE)
 
 
+def describe(df: DataFrame) -> DataFrame:
+    """``(col_name, data_type, nullable)`` of a table, like ``DESCRIBE``
+    (schema metadata only; no data is read)."""
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+    return df.sparkSession.createDataFrame(rows, "col_name string, data_type string, nullable boolean")
+
+
 def merge_metrics(tagged: DataFrame) -> DataFrame:
     """``(_change, rows)``: how many rows each upsert branch produced."""
     return tagged.groupBy(CHANGE).agg(F.count(F.lit(1)).alias("rows"))

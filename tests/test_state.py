@@ -170,3 +170,8 @@ def test_partitioned_versions_rewrite_only_touched(spark, tmp_path):
     noop = state.upsert_latest(versions.read_partitions(spark, base, ["2026-01-02"]),
                                batch(spark, [("b", 5, "B", day(2, 5), "s", "f")]), "k", ORDER)
     assert versions.publish_partitions(noop, base, day(5), part) is None
+
+
+def test_describe(spark):
+    d = {r.col_name: (r.data_type, r.nullable) for r in state.describe(batch(spark, [])).collect()}
+    assert d["k"] == ("string", True) and d["observed_at"] == ("timestamp_ntz", True)
