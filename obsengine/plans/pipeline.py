@@ -169,11 +169,22 @@ _MEASURES = ["total_flights", "delayed_flights", "delay_rate", "average_delay_mi
 
 
 def gold_incremental(silver_state: DataFrame, previous: Gold,
-                     keep_missing_groups: bool = False) -> Gold:
+                     keep_missing_groups: bool = False,
+                     silver_changes: DataFrame | None = None) -> Gold:
     """Gold from a new silver state and the previous gold, incrementally:
     the fact is upserted (tagged once, written once), dimensions take one
-    SCD2 step, and rollups recompute only hours holding a changed fact row."""
-    tagged = state.materialize(merge_fact(previous.fact, silver_state))
+    SCD2 step, and rollups recompute only hours holding a changed fact row.
+
+    With ``silver_changes`` (the rows the last silver merge inserted or
+    updated) the fact upsert reads only those: unchanged silver rows are
+    already in the previous fact, so the result is the same, and the
+    size-checked plan broadcasts a small change set instead of shuffling the
+    fact."""
+    if silver_changes is None:
+        tagged = state.materialize(merge_fact(previous.fact, silver_state))
+    else:
+        tagged = state.materialize(state.upsert_latest_sized(
+            previous.fact, fact_stage(state.current(silver_changes)), OBSERVATION_KEY, FACT_ORDER))
     changed = tagged.where(F.col(state.CHANGE) != F.lit(state.KEEP))
     fact = state.current(tagged)
     return Gold(

@@ -197,8 +197,12 @@ def agg_upsert_keep_missing(spark, sf):
 def rollup_refresh(spark, sf):
     """Gold built from the early state, then refreshed incrementally with the
     full state: only hours holding a changed fact row are recomputed."""
-    previous = pipeline.gold_from_silver(pipeline.silver(_early(spark, sf)))
-    return pipeline.gold_incremental(_silver(spark, sf), previous).airline_hour
+    early = state.materialize(pipeline.silver(_early(spark, sf)))
+    previous = pipeline.gold_from_silver(early)
+    step = state.materialize(pipeline.merge_silver(early, _late(spark, sf)))
+    changes = step.where(F.col(state.CHANGE) != F.lit(state.KEEP))
+    return pipeline.gold_incremental(state.current(step), previous,
+                                     silver_changes=changes).airline_hour
 
 
 def schema_evolution_union(spark, sf):
