@@ -69,8 +69,8 @@ WITH base AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (
   SELECT doc_id, text,
-         list_filter(string_split_regex(text, '{_GAP}'), x -> x <> '') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_WORD_CHAR}')) AS lines
+         list_filter(string_split_regex(text, '{_GAP}'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD_CHAR}')) AS lines
   FROM base),
 windows AS (
   SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS w
@@ -85,10 +85,10 @@ counted AS (
          length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(v.n, 0) AS n_repeat_words,
-         len(list_filter(list_distinct(words), x -> x IN ({', '.join(f"'{w}'" for w in _STOP)}))) AS stops,
-         len(list_filter(lines, x -> regexp_matches(x, '^[ \\t]*[-*•]'))) AS bullets,
-         len(list_filter(lines, x -> regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\r]*$'))) AS dots,
-         len(list_filter(words, x -> regexp_matches(x, '\\pL'))) AS lettered
+         len(list_filter(list_distinct(words), lambda x: x IN ({', '.join(f"'{w}'" for w in _STOP)}))) AS stops,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^[ \\t]*[-*•]'))) AS bullets,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\r]*$'))) AS dots,
+         len(list_filter(words, lambda x: regexp_matches(x, '\\pL'))) AS lettered
   FROM cut c LEFT JOIN covered v USING (doc_id)),
 judged AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
@@ -105,7 +105,7 @@ FROM judged
 _OP5 = f"""
 WITH sized AS (
   SELECT doc_id, source,
-         len(list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), x -> x <> ''))::BIGINT AS size,
+         len(list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), lambda x: x <> ''))::BIGINT AS size,
          length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>!]+', '', 'g')) AS symbols,
          (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5)
            / 4503599627370496.0 AS u
@@ -120,7 +120,7 @@ sources AS (
          [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
   FROM keyed GROUP BY source),
 levels AS (
-  SELECT min(level) AS level FROM (
+  SELECT arg_min(level, ratio) AS level FROM (
     SELECT a.source, 2 * a.source_size / a.weight AS ratio,
            (1.5 * (SELECT sum(source_size) FROM sources)
              - coalesce(sum(2 * b.source_size) FILTER (WHERE 2 * b.source_size / b.weight

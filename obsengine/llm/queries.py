@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import exact_dedup, quality_rules, source_mixing, url_filters
+from obsengine.llm import exact_dedup, quality_rules, simhash, source_mixing, url_filters
 from obsengine.llm.common import table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages")).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -31,4 +35,4 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op2_url_filters, op3_quality_rules, op5_source_mixing, op8_exact_dedup)}
+    op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op5_source_mixing, op8_exact_dedup)}
