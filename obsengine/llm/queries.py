@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import exact_dedup, quality_rules, simhash, source_mixing, url_filters
+from obsengine.llm import (
+    exact_dedup,
+    html_extraction,
+    quality_classifier,
+    quality_rules,
+    sentencepiece,
+    simhash,
+    source_mixing,
+    url_filters,
+)
 from obsengine.llm.common import table
 
 
@@ -29,10 +38,28 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id):
+        return F.crc32(doc_id.cast("string")) % 5 == 0
+
+    scored = quality_classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out(F.col("id")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet").select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 REGISTRY = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op5_source_mixing, op8_exact_dedup)}
+    op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op5_source_mixing,
+    op6_quality_classifier, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
