@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obsengine.llm import (
     exact_dedup,
     html_extraction,
+    line_dedup,
     quality_classifier,
     quality_rules,
     sentencepiece,
@@ -33,6 +34,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.dedup(docs.select("doc_id", "text")).select(
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -61,5 +68,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op5_source_mixing,
-    op6_quality_classifier, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
+    op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op4_line_dedup,
+    op5_source_mixing, op6_quality_classifier, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
