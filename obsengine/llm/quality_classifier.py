@@ -118,11 +118,12 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
 
     texts = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
     # At most ``most`` ids: a bound that does not grow with the table.
-    rows = (texts.join(F.broadcast(chosen), "id").select("id", F.col("label").cast("int"), "text")
+    rows = (texts.join(F.broadcast(chosen), "id")
+            .select(F.col("id").cast("string"), F.col("label").cast("int"), "text")
             .mapInPandas(count, "id string, label int, idx array<int>, n array<int>").toPandas())
-    rows = rows.assign(m=[x.tolist() for x in rows["idx"]]).sort_values(["id", "label", "m"])
-    return [(np.asarray(i), np.asarray(n, np.float64), int(y))
-            for i, n, y in zip(rows["idx"], rows["n"], rows["label"], strict=True)]
+    found = sorted((id_, int(y), tuple(i), tuple(n)) for id_, y, i, n in
+                   zip(rows["id"], rows["label"], rows["idx"], rows["n"], strict=True))
+    return [(np.array(i), np.array(n, np.float64), y) for _, y, i, n in found]
 
 
 def score(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from obsengine.llm import (
     exact_dedup,
     html_extraction,
     line_dedup,
+    pii,
     quality_classifier,
     quality_rules,
     sentencepiece,
@@ -54,6 +56,15 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(F.col("base"), kind).alias(f"n_{kind}")
+              for kind in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii.listing(F.col("base")), 256).alias("base_sha256"),
+                        pii.listing(F.col("spans")).alias("spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet").select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -69,4 +80,4 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op4_line_dedup,
-    op5_source_mixing, op6_quality_classifier, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
+    op5_source_mixing, op6_quality_classifier, op7_pii_sanitise, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
