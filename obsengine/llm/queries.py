@@ -80,4 +80,6 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op4_line_dedup,
-    op5_source_mixing, op6_quality_classifier, op7_pii_sanitise, op8_exact_dedup, op9_sentencepiece, op10_html_extraction)}
+    op5_source_mixing, op6_quality_classifier, op7_pii_sanitise, op8_exact_dedup,
+    op9_sentencepiece, op10_html_extraction)}
+REGISTRY["pipeline"] = corpus_pipeline.run
