@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import text, variant
 
-_INT_TEXT = r"^(0|-?[1-9][0-9]*)$"
+_INT_TEXT = r"^(0|-?[1-9][0-9]*)\z"
 _INT_MAX = 2147483647
 
 

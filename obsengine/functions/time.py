@@ -10,7 +10,7 @@ from . import variant
 # Accepted text after every 'Z' became '+00:00' and a minutes-only time got
 # ':00' seconds: date, 'T' or ' ', hours, minutes, seconds, optional fraction
 # and a mandatory numeric offset.
-ISO_WITH_OFFSET = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d+)?[+-]\d\d(:?\d\d)?$"
+ISO_WITH_OFFSET = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d+)?[+-]\d\d(:?\d\d)?\z"
 _MINUTES_ONLY = r"^(\d{4}-\d\d-\d\d[T ]\d\d:\d\d)([+-])"
 
 

@@ -58,3 +58,12 @@ def is_fractional(t: Column) -> Column:
 def has_key(v: Column, key: str) -> Column:
     """True when the object ``v`` carries ``key``, even with a JSON null."""
     return F.coalesce(F.try_variant_get(v, f"$.{key}", "variant").isNotNull(), F.lit(False))
+
+
+def body_text(body: Column) -> Column:
+    """The text of a JSON body in UTF-8, without a byte order mark; NULL when the
+    bytes are not UTF-8."""
+    rest = F.when(F.hex(F.substring(body, 1, 3)) == "EFBBBF",
+                  F.substring(body, 4, F.length(body))).otherwise(body)
+    text = rest.cast("string")
+    return F.when(F.is_valid_utf8(text), text)

@@ -39,28 +39,9 @@ def _greater(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return F.struct(*left) > F.struct(*right)
 
 
-# Bytes up to which a stage is broadcast to the state, checked as
-# rows × estimated row width (see ``row_width``).
-BROADCAST_STAGE_BYTES = 64 << 20
-
-
-_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-
-
-def row_width(schema: T.StructType) -> int:
-    """Conservative in-memory width of a row (variable-width fields at 48 bytes)."""
-    return 16 + sum(_FIXED_WIDTH.get(f.dataType.typeName(), 48) for f in schema.fields)
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_STAGE_BYTES) -> bool:
-    """Size check before an explicit broadcast: count × estimated row width."""
-    return df.count() * row_width(df.schema) <= max_bytes
-
-
 def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
                   order: Sequence[str], backfill: Sequence[str] = (),
-                  small_stage: bool = False, stage_is_latest: bool = False) -> DataFrame:
+                  stage_written: bool = False, stage_is_latest: bool = False) -> DataFrame:
     """Monotone newest-wins upsert (never deletes).
 
     The stage is first reduced to its latest row per key.  A stage row
@@ -71,9 +52,10 @@ def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
     and out-of-order batches give the same state.
 
     Plans: by default a full outer join on the key (both sides shuffled —
-    right when the stage is as large as the state).  With ``small_stage``
-    (the caller has checked the stage size, see ``upsert_latest_sized``) the
-    stage is broadcast: the state is probed in place and never shuffled.
+    right when the stage is as large as the state).  With ``stage_written``
+    (the stage is a written table, see ``upsert_latest_sized``) the state is
+    probed with a left join and new keys come from an anti join; the planner
+    knows the table's real size and broadcasts it only below its own limit.
     """
     keys = _names(key)
     cols = [c for c in state.columns if c != CHANGE]
@@ -82,7 +64,7 @@ def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
         stage = latest_per_key(stage, keys, order)
     s = stage.withColumn("_in_s", F.lit(True))
     t = state.select(*cols).withColumn("_in_t", F.lit(True)).alias("t")
-    s = (F.broadcast(s) if small_stage else s).alias("s")
+    s = s.alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
     t_ord = [F.col(f"t.{c}") for c in order]
     s_ord = [F.col(f"s.{c}") for c in order]
@@ -94,30 +76,23 @@ def upsert_latest(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
     take_s = ~in_t | newer
     tag = F.when(~in_t, F.lit(INSERT)).when(take_s, F.lit(UPDATE)).otherwise(F.lit(KEEP))
     pick = [F.when(take_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols]
-    if not small_stage:
+    if not stage_written:
         return t.join(s, cond, "full_outer").select(*pick, tag.alias(CHANGE))
-    # state rows, each with its stage candidate: broadcast hash join, no shuffle
     probed = t.join(s, cond, "left").select(*pick, tag.alias(CHANGE))
-    # new keys: stage keys absent from the state (key-only scan, broadcast semi join)
-    existing = state.select(*keys).join(F.broadcast(stage.select(*keys)), keys, "left_semi")
-    # ``existing`` is bounded by the (checked) stage size, so it may be broadcast
-    inserted = stage.join(F.broadcast(existing), keys, "left_anti").select(
-        *cols, F.lit(INSERT).alias(CHANGE))
+    # new keys: stage keys absent from the state (key-only scan)
+    existing = state.select(*keys).join(stage.select(*keys), keys, "left_semi")
+    inserted = stage.join(existing, keys, "left_anti").select(*cols, F.lit(INSERT).alias(CHANGE))
     return probed.unionByName(inserted)
 
 
 def upsert_latest_sized(state: DataFrame, stage: DataFrame, key: str | Sequence[str],
-                        order: Sequence[str], backfill: Sequence[str] = (),
-                        max_broadcast_bytes: int = BROADCAST_STAGE_BYTES) -> DataFrame:
-    """``upsert_latest`` with a checked plan: the latest stage is written once
-    to the shared checkpoint folder and counted; it is broadcast only when its
-    estimated size is at most ``max_broadcast_bytes``, else both sides are
-    shuffled."""
+                        order: Sequence[str], backfill: Sequence[str] = ()) -> DataFrame:
+    """``upsert_latest`` for a short window: the latest stage is written once to
+    the shared folder, so the planner decides on its real size."""
     keys = _names(key)
     cols = [c for c in state.columns if c != CHANGE]
     latest = materialize(latest_per_key(stage.select(*cols), keys, order))
-    small = fits_broadcast(latest, max_broadcast_bytes)
-    return upsert_latest(state, latest, keys, order, backfill, small_stage=small,
+    return upsert_latest(state, latest, keys, order, backfill, stage_written=True,
                          stage_is_latest=True)
 
 

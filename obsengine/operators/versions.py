@@ -11,12 +11,10 @@ cluster's shared checkpoint folder (see ``session.shared_dir``).
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .state import CHANGE, KEEP, current
@@ -31,16 +29,6 @@ def versions(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(_log_path(base)).select("version", "committed_at")
 
 
-def committed_batch(spark: SparkSession, base: str, batch_id: int) -> bool:
-    """True when a stream micro-batch with this id was already published
-    (a replayed batch after a failure must not publish twice)."""
-    try:
-        log = spark.read.parquet(_log_path(base))
-    except AnalysisException:
-        return False
-    return not log.where(F.col("batch_id") == F.lit(batch_id)).isEmpty()
-
-
 def latest_version(spark: SparkSession, base: str) -> int | None:
     try:
         row = spark.read.parquet(_log_path(base)).agg(F.max("version").alias("v")).first()
@@ -49,24 +37,23 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
     return None if row is None else row["v"]
 
 
-def publish(df: DataFrame, base: str, committed_at: datetime, batch_id: int | None = None) -> int:
+def publish(df: DataFrame, base: str, committed_at: datetime) -> int:
     """Write ``df`` (tags dropped) as the next version; returns its number."""
     spark = df.sparkSession
     last = latest_version(spark, base)
     version = 0 if last is None else last + 1
     current(df).write.mode("overwrite").parquet(f"{base}/version={version}")
-    log = spark.createDataFrame([(version, committed_at, batch_id)],
-                                "version int, committed_at timestamp_ntz, batch_id long")
+    log = spark.createDataFrame([(version, committed_at)],
+                                "version int, committed_at timestamp_ntz")
     log.coalesce(1).write.mode("append").parquet(_log_path(base))
     return version
 
 
-def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime,
-                       batch_id: int | None = None) -> int | None:
+def publish_if_changed(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
     """Publish only when the upsert changed something (skip no-op writes)."""
     if CHANGE in tagged.columns and tagged.where(F.col(CHANGE) != F.lit(KEEP)).isEmpty():
         return None
-    return publish(tagged, base, committed_at, batch_id)
+    return publish(tagged, base, committed_at)
 
 
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
@@ -75,91 +62,3 @@ def read_version(spark: SparkSession, base: str, version: int | None = None) ->
     if v is None:
         raise ValueError(f"no published version under {base}")
     return spark.read.parquet(f"{base}/version={v}")
-
-
-# -- partitioned versions: rewrite only the partitions a merge touches --------
-#
-# ``<base>/version=N/_part=P/`` holds partition P as written by version N; the
-# manifest ``<base>_manifest`` maps (version, part) → data_version, so a new
-# version rewrites only partitions with a change and references the rest.
-# The partition column must be fixed by the key (every version of a key lands
-# in the same partition), e.g. the scheduled date inside a flight key.
-
-PART = "_part"
-NULL_PART = "__null__"
-
-
-def _manifest_path(base: str) -> str:
-    return base.rstrip("/") + "_manifest"
-
-
-def part_value(part: Column) -> Column:
-    return F.coalesce(part.cast("string"), F.lit(NULL_PART))
-
-
-def _manifest(spark: SparkSession, base: str, version: int) -> DataFrame:
-    return (spark.read.parquet(_manifest_path(base))
-            .where(F.col("version") == F.lit(version)).select(PART, "data_version"))
-
-
-def _schema_of(spark: SparkSession, base: str, version: int) -> T.StructType:
-    row = (spark.read.parquet(_log_path(base)).where(F.col("version") == F.lit(version))
-           .select("schema_json").first())
-    return T.StructType.fromJson(json.loads(row["schema_json"]))
-
-
-def read_partitions(spark: SparkSession, base: str, parts: list[str] | None = None,
-                    version: int | None = None) -> DataFrame | None:
-    """Rows of ``version`` (default newest) in ``parts`` (default all): only
-    those partition folders are listed and read.  None when nothing exists."""
-    v = latest_version(spark, base) if version is None else version
-    if v is None:
-        return None
-    entries = _manifest(spark, base, v)
-    if parts is not None:
-        entries = entries.where(F.col(PART).isin(parts))
-    paths = [f"{base}/version={r['data_version']}/{PART}={r[PART]}" for r in entries.collect()]
-    schema = _schema_of(spark, base, v)
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
-
-
-def publish_partitions(tagged: DataFrame, base: str, committed_at: datetime, part: Column,
-                       batch_id: int | None = None) -> int | None:
-    """Publish a merge result, rewriting only the partitions it holds.
-
-    ``tagged`` must hold every row of the partitions it touches (e.g. an
-    upsert of ``read_partitions(..., parts)`` with a stage whose keys fall in
-    ``parts``); other partitions are carried by reference.  One job: the
-    change count and the written partition set are observed during the
-    write; a no-op is not committed (its folder is overwritten by the next
-    publish).  Returns the new version, or None for a no-op.
-    """
-    spark = tagged.sparkSession
-    prev = latest_version(spark, base)
-    version = 0 if prev is None else prev + 1
-    df = tagged.withColumn(PART, part_value(part))
-    changed = (F.count_if(F.col(CHANGE) != F.lit(KEEP)) if CHANGE in df.columns
-               else F.count(F.lit(1)))
-    seen = Observation(f"publish-{version}")
-    df = df.observe(seen, changed.alias("changes"), F.collect_set(PART).alias("parts"))
-    # rebalance: AQE splits a hot partition across tasks and packs small ones
-    (current(df).hint("rebalance", PART)
-     .write.mode("overwrite").partitionBy(PART).parquet(f"{base}/version={version}"))
-    metrics = seen.get
-    if prev is not None and metrics["changes"] == 0:
-        return None
-    touched = list(metrics["parts"])
-    new = spark.createDataFrame([(version, p, version) for p in touched],
-                                "version int, _part string, data_version int")
-    if prev is not None:
-        carried = (_manifest(spark, base, prev).where(~F.col(PART).isin(touched))
-                   .select(F.lit(version).alias("version"), PART, "data_version"))
-        new = new.unionByName(carried)
-    new.coalesce(1).write.mode("append").parquet(_manifest_path(base))
-    schema = current(tagged).schema.json()
-    log = spark.createDataFrame([(version, committed_at, batch_id, schema)],
-                                "version int, committed_at timestamp_ntz, batch_id long, schema_json string")
-    log.coalesce(1).write.mode("append").parquet(_log_path(base))
-    return version

@@ -1,7 +1,7 @@
 """Pipeline composition: observations → silver state → gold tables.
 
-Each step is a DataFrame function; ``run_*`` helpers publish versions under
-the shared folder only when a step changed something.
+Each step is a DataFrame function; ``merge_into_partitions`` and
+``bronze_to_silver_run`` write to a partitioned state, and only what changed.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import rollup, scd, state, versions
-from ..schemas import (ADDITIVE_FIELDS, FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION,
+from ..operators import partitions, rollup, scd, state
+from ..schemas import (ADDITIVE_FIELDS, FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, LABEL_FIELDS, OBSERVATION,
                        OBSERVATION_KEY, OBSERVATION_ORDER)
-from ..sources import payload
+from ..sources import landing, payload
 
 
 def silver(obs: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def merge_silver(current: DataFrame, stage: DataFrame) -> DataFrame:
 
 
 def merge_silver_incremental(current: DataFrame, stage: DataFrame) -> DataFrame:
-    """Silver merge for a look-back window: the stage size is checked and a
-    small stage is broadcast, so the large state is never shuffled."""
+    """Silver merge for a look-back window: the stage is written once, and the
+    planner broadcasts it only when its real size allows."""
     return state.upsert_latest_sized(current, stage, OBSERVATION_KEY, OBSERVATION_ORDER,
                                      backfill=LABEL_COLUMNS)
 
@@ -48,7 +48,7 @@ def bronze_to_silver(current: DataFrame, payloads: DataFrame) -> DataFrame:
         saw = payload.saw_field_in(payloads, f.name)
         if not saw:
             obs = obs.drop(f.name)
-    cur, stage = state.evolve(current, obs, ADDITIVE_FIELDS)
+    cur, stage = state.evolve(current, obs, [*LABEL_FIELDS, *ADDITIVE_FIELDS])
     return merge_silver_incremental(cur, stage)
 
 
@@ -61,31 +61,29 @@ def silver_partition(grain: str = "day") -> Column:
     return day if grain == "day" else F.date_format(day, "yyyy-MM")
 
 
-def merge_into_partitions(base: str, obs: DataFrame, committed_at,
-                          batch_id: int | None = None, grain: str = "day") -> int | None:
-    """Incremental silver merge over partitioned versions.
+def merge_into_partitions(base: str, obs: DataFrame, grain: str = "day") -> DataFrame | None:
+    """Incremental silver merge into the partitioned state.
 
-    Reduce the window to its latest row per key and write that once
-    (counted: the broadcast size check); read only the state partitions its
-    keys fall in; upsert; publish only the partitions that changed.  Work and
-    writes grow with the window, not with the state.
+    Reduce the window to its latest row per key and write that once; read only
+    the state partitions its keys fall in; work out the changes; rewrite only the
+    partitions that hold one.  Returns the written change set (``_change``,
+    ``_part``), or None when nothing changed.
     """
     spark = obs.sparkSession
     stage = state.materialize(state.latest_per_key(obs, OBSERVATION_KEY, OBSERVATION_ORDER))
-    small = state.fits_broadcast(stage)
-    part = silver_partition(grain)
-    parts = [r[0] for r in stage.select(versions.part_value(part).alias("p")).distinct().collect()]
-    current = versions.read_partitions(spark, base, parts)
-    if current is None:
-        current = spark.createDataFrame([], OBSERVATION)
-    cur, st = state.evolve(current, stage, ADDITIVE_FIELDS)
+    part = partitions.part_value(silver_partition(grain), F.col(OBSERVATION_KEY[0]))
+    parts = [r[0] for r in stage.select(part).distinct().collect()]
+    before = partitions.read(spark, base, parts)
+    known = before if before is not None else spark.createDataFrame([], OBSERVATION)
+    cur, st = state.evolve(known, stage, [*LABEL_FIELDS, *ADDITIVE_FIELDS])
     tagged = state.upsert_latest(cur, st, OBSERVATION_KEY, OBSERVATION_ORDER, backfill=LABEL_COLUMNS,
-                                 small_stage=small, stage_is_latest=True)
-    return versions.publish_partitions(tagged, base, committed_at, part, batch_id)
+                                 stage_written=True, stage_is_latest=True)
+    changes = partitions.change_set(tagged, part)
+    touched = partitions.write_changed(spark, base, before, changes, OBSERVATION_KEY, part)
+    return changes if touched else None
 
 
-def merge_payloads_into(base: str, payloads: DataFrame, committed_at,
-                        batch_id: int | None = None) -> int | None:
+def merge_payloads_into(base: str, payloads: DataFrame) -> DataFrame | None:
     """Incremental bronze → silver: parse the window, take the additive-field
     decision, then ``merge_into_partitions``."""
     additive = [f.name for f in ADDITIVE_FIELDS]
@@ -93,7 +91,34 @@ def merge_payloads_into(base: str, payloads: DataFrame, committed_at,
     for f in ADDITIVE_FIELDS:
         if not payload.saw_field_in(payloads, f.name):
             obs = obs.drop(f.name)
-    return merge_into_partitions(base, obs, committed_at, batch_id)
+    return merge_into_partitions(base, obs)
+
+
+def bronze_to_silver_run(spark, log_path: str, store_path: str, base: str, as_of,
+                         hours: int = 48) -> DataFrame:
+    """One look-back run: log window → stored bodies of its dates → parse → merge
+    into the partitioned state.  Returns one row of counts: files, rows staged,
+    inserted, updated, and whether a column was added."""
+    window = landing.select_window(landing.read_log(spark, log_path), as_of, hours)
+    bodies = state.materialize(landing.attach_payloads(
+        window, landing.read_log(spark, store_path)), "window-bodies")
+    before = partitions.read(spark, base)
+    old = set() if before is None else set(before.columns)
+    changes = merge_payloads_into(base, bodies)
+    if changes is None:
+        counts = spark.range(1).select(F.lit(0).cast("long").alias("inserted"),
+                                       F.lit(0).cast("long").alias("updated"))
+        added = False
+    else:
+        counts = changes.agg(F.count_if(F.col(state.CHANGE) == state.INSERT).alias("inserted"),
+                             F.count_if(F.col(state.CHANGE) == state.UPDATE).alias("updated"))
+        added = before is not None and any(f.name in changes.columns and f.name not in old
+                                           for f in ADDITIVE_FIELDS)
+    staged = payload.observations(payload.parse(bodies)).agg(
+        F.count(F.lit(1)).alias("parsed"),
+        F.countDistinct(OBSERVATION_KEY[0]).alias("staged"))
+    files = bodies.agg(F.count(F.lit(1)).alias("files"))
+    return files.join(staged).join(counts).withColumn("column_added", F.lit(added))  # one row each
 
 
 def fact_stage(silver_state: DataFrame) -> DataFrame:

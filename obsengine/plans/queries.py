@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality, scd, state, versions
+from ..operators import partitions, quality, scd, state, versions
 from ..schemas import (ADDITIVE_FIELDS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_KEY,
                        OBSERVATION_ORDER, ROLLUP_MEASURES)
 from ..session import ensure_utc, scratch_path
@@ -149,27 +149,31 @@ def upsert_incremental(spark, sf):
     return pipeline.merge_silver_incremental(before, window)
 
 
-def _partitioned(spark, sf) -> str:
+def _partitioned(spark, sf):
     """State before the window published as date partitions, then the window
     merged in: only partitions holding window keys are read and rewritten."""
     base = scratch_path(spark, "silver_parts")
     start = F.lit(WINDOW_START).cast("timestamp_ntz")
     pipeline.merge_into_partitions(base, _obs(spark, sf).where(F.col("observed_at") < start),
-                                   _ts(WINDOW_START), grain="month")
-    pipeline.merge_into_partitions(base, _obs(spark, sf).where(F.col("observed_at") >= start),
-                                   _ts("2002-01-01 00:00:00"), grain="month")
-    return base
+                                   grain="month")
+    changes = pipeline.merge_into_partitions(
+        base, _obs(spark, sf).where(F.col("observed_at") >= start), grain="month")
+    return base, changes
 
 
 def partitioned_upsert(spark, sf):
-    return versions.read_partitions(spark, _partitioned(spark, sf))
+    return partitions.read(spark, _partitioned(spark, sf)[0])
 
 
 def partitioned_manifest(spark, sf):
-    """Which version holds each month partition after the incremental merge."""
-    base = _partitioned(spark, sf)
-    return (spark.read.parquet(base + "_manifest").where(F.col("version") == 1)
-            .select(F.col("_part").alias("part"), "data_version"))
+    """Which of the two merges last wrote each month partition."""
+    base, changes = _partitioned(spark, sf)
+    months = spark.read.parquet(base).select(F.col("_part").cast("string").alias("part")).distinct()
+    if changes is None:
+        return months.withColumn("data_version", F.lit(0))
+    second = changes.select(F.col("_part").alias("part"), F.lit(1).alias("_by")).distinct()
+    return months.join(second, "part", "left").select(
+        "part", F.coalesce("_by", F.lit(0)).alias("data_version"))
 
 
 def fact_upsert(spark, sf):
@@ -244,10 +248,10 @@ def dim_history(spark, sf):
     roles = obs.select(F.inline(F.array(
         F.struct(F.col("departure_airport_iata").alias("airport_iata"),
                  F.col("departure_airport_name").alias("airport_name"),
-                 "observed_at", "source_file", "payload_sha256"),
+                 "observed_at", "source_file", "payload_sha256", "quality_status"),
         F.struct(F.col("arrival_airport_iata").alias("airport_iata"),
                  F.col("arrival_airport_name").alias("airport_name"),
-                 "observed_at", "source_file", "payload_sha256"))))
+                 "observed_at", "source_file", "payload_sha256", "quality_status"))))
     hist = scd.history(roles, "airport_iata", "airport_name", "airport",
                        tiebreak=("source_file", "payload_sha256", "airport_name"))
     return serve.dim_history(hist, "airport_iata")
@@ -389,7 +393,7 @@ def param_redaction(spark, sf):
 def param_parse(spark, sf):
     p = bindings.param_lists(spark, sf).select(
         "request_id", landing.parse_params(F.col("items")).alias("p"))
-    return p.select("request_id", F.explode(F.col("p.params")).alias("key", "value"),
+    return p.select("request_id", F.explode_outer(F.col("p.params")).alias("key", "value"),
                     F.size("p.invalid").alias("invalid_items"))
 
 

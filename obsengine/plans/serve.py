@@ -77,8 +77,8 @@ def detail(state: DataFrame, n: int = 500) -> DataFrame:
 
 
 def rollup_rows(rollup: DataFrame, key: str) -> DataFrame:
-    return rollup.orderBy(key, "hour_start_at")
+    return rollup.orderBy(F.asc_nulls_last(key), F.asc_nulls_last("hour_start_at"))
 
 
 def dim_history(dim: DataFrame, key: str) -> DataFrame:
-    return dim.orderBy(key, "effective_from")
+    return dim.orderBy(F.asc_nulls_last(key), F.asc_nulls_last("effective_from"))

@@ -42,6 +42,8 @@ OBSERVATION = _schema(*OBSERVATION_BASE)
 OBSERVATION_EVOLVED = _schema(*OBSERVATION_BASE, ("aircraft_type", S, True))
 OBSERVATION_COLUMNS = [f[0] for f in OBSERVATION_BASE]
 ADDITIVE_FIELDS = [T.StructField("aircraft_type", S, True)]
+LABEL_FIELDS = [T.StructField(n, S, True) for n in
+                ("airline_name", "departure_airport_name", "arrival_airport_name")]
 LABEL_COLUMNS = ["airline_name", "departure_airport_name", "arrival_airport_name"]
 
 # Newest-wins order within one business key (all non-null).

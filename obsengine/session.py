@@ -3,7 +3,8 @@
 Library code never creates a session.  ``local_session`` exists for tests
 and the bench only; ``shared_dir`` resolves the cluster-wide folder named by
 ``spark.checkpoint.dir`` (the only place this engine writes intermediate or
-versioned state), falling back to a private folder only when it is unset.
+versioned state).  When it is unset, a local session gets a private folder and
+a cluster session is refused: executors could not see each other's files there.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 BROADCAST_BYTES = 1 << 20
 
 
@@ -46,7 +48,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All engine timestamps are UTC instants; text renderings assume it."""
+    """All engine timestamps are UTC instants; text renderings assume it.  Of
+    repeated keys of a JSON object the last one counts."""
+    if spark.conf.get(DUPLICATE_KEYS, None) != "true":
+        spark.conf.set(DUPLICATE_KEYS, "true")
     if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
@@ -58,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         configured = current
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="obsengine-checkpoint-")
         spark.sparkContext.setCheckpointDir(configured)
     elif not spark.sparkContext.getCheckpointDir():

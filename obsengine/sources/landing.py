@@ -35,8 +35,7 @@ def record_count(body: Column) -> Column:
     (0, NOT_JSON); ``data`` absent / null → (0, NULL); array → (length, NULL);
     anything else → (0, NOT_ARRAY).
     """
-    s = body.cast("string")
-    doc = F.when(F.is_valid_utf8(s), F.try_parse_json(s))
+    doc = F.try_parse_json(variant.body_text(body))
     data = variant.field(doc, "data")
     arr = variant.as_array(data)
     is_obj = variant.is_object(doc)
@@ -146,6 +145,24 @@ def rejected_requests(responses: DataFrame) -> DataFrame:
         .alias("reason"))
 
 
+def store_bodies(responses: DataFrame, source: str, bucket: str, path: str) -> None:
+    """Append the exact bytes of every body that the log will name to the body
+    store (``path, content``, partitioned by ``ingestion_date``).  Runs before
+    ``append_log``: a log row never names a body that is not there."""
+    r = responses.where(valid_endpoint(F.col("endpoint")) & F.col("body").isNotNull()
+                        & F.col("storage_error").isNull())
+    (r.select(F.concat(F.lit(f"s3a://{bucket}/"), object_key(
+                  source, F.col("endpoint"), F.col("ingested_at"), F.col("ingestion_id"))).alias("path"),
+              F.col("body").alias("content"), F.to_date("ingested_at").alias("ingestion_date"))
+     .write.mode("append").partitionBy("ingestion_date").parquet(path))
+
+
+def land(responses: DataFrame, source: str, bucket: str, store_path: str, log_path: str) -> None:
+    """Bodies first, then their log rows."""
+    store_bodies(responses, source, bucket, store_path)
+    append_log(land_responses(responses, source, bucket), log_path)
+
+
 def append_log(log: DataFrame, path: str) -> None:
     """Append log rows to the partitioned log table (``ingestion_date``)."""
     (log.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields])
@@ -176,15 +193,27 @@ def select_window(log: DataFrame, as_of: datetime, hours: int = 48) -> DataFrame
                   & (F.col("ingested_at") >= start))
     if "ingestion_date" in log.columns:
         w = w.where(F.col("ingestion_date") >= F.to_date(start))
+        return w.select("object_path", "ingested_at", "payload_sha256", "ingestion_date")
     return w.select("object_path", "ingested_at", "payload_sha256")
 
 
 def attach_payloads(window: DataFrame, payloads: DataFrame, path_col: str = "path",
                     content_col: str = "content") -> DataFrame:
-    """Log window ⋈ payload store on the object path (executor-side read)."""
-    p = payloads.select(F.col(path_col).alias("object_path"), F.col(content_col).alias("body"))
-    return window.join(p, "object_path").select(
-        "object_path", F.col("ingested_at").alias("observed_at"), "payload_sha256", "body")
+    """Log window ⋈ payload store on the object path (executor-side read).
+
+    A logged object that the store does not hold fails the job: a window that is
+    silently short would lose observations.  When both sides carry
+    ``ingestion_date``, the store is read for the window's dates only."""
+    keys = ["object_path"]
+    cols = [F.col(path_col).alias("object_path"), F.col(content_col).alias("body"),
+            F.lit(True).alias("_stored")]
+    if "ingestion_date" in window.columns and "ingestion_date" in payloads.columns:
+        keys.append("ingestion_date")
+        cols.append(F.col("ingestion_date"))
+    missing = F.raise_error(F.concat(F.lit("no stored body for "), F.col("object_path")))
+    return window.join(payloads.select(*cols), keys, "left").select(
+        "object_path", F.col("ingested_at").alias("observed_at"), "payload_sha256",
+        F.when(F.col("_stored"), F.col("body")).otherwise(missing.cast("binary")).alias("body"))
 
 
 def terminal_attempt(attempts: DataFrame, max_attempts: int = 3, key: str = "request_id") -> DataFrame:

@@ -24,12 +24,11 @@ NOT_OBJECT = "flight record is not an object"
 def decode(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Add ``doc`` (VARIANT) and ``decode_error``.
 
-    Bytes that are not valid UTF-8, or text that is not JSON, give a NULL
+    Bytes that are not UTF-8, or text that is not JSON, give a NULL
     document and ``NOT_JSON``; a document that is not an object or whose
     ``data`` is not an array (absent / null included) gives ``NOT_ARRAY``.
     """
-    s = F.col(body).cast("string")
-    doc = F.when(F.is_valid_utf8(s), F.try_parse_json(s))
+    doc = F.try_parse_json(variant.body_text(F.col(body)))
     data = variant.as_array(variant.field(F.col("doc"), "data"))
     return (payloads.withColumn("doc", doc)
             .withColumn("decode_error",

@@ -1,27 +1,24 @@
-"""Stream landed payload files into the versioned silver state.
+"""Stream landed payload files into the partitioned silver state.
 
 ``readStream.format("binaryFile")`` picks up new landed files; each
 micro-batch runs the same DataFrame step as the batch pipeline
 (``pipeline.merge_payloads_into``: parse → evolve → newest-wins upsert)
 inside ``foreachBatch``; only the state partitions the batch touches are
-read and rewritten, and nothing is published when nothing changed.
-The upsert is order-free and idempotent, and a replayed micro-batch is
-recognised by its batch id in the commit log, so a restart after a failure
-neither loses nor double-publishes a batch.  Stream progress lives in a
-checkpoint folder under the cluster's shared folder.
+read and rewritten, and nothing is written when nothing changed.
+The upsert is order-free and idempotent, so a replayed micro-batch, a new
+checkpoint or a second stream into the same state changes nothing twice and
+skips nothing.  Stream progress lives beside the state by default.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import versions
+from ..operators import partitions
 from ..plans import pipeline
-from ..session import ensure_utc, shared_dir
+from ..session import ensure_utc
 
 # Fixed schema of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -48,11 +45,7 @@ def landed_payloads(spark: SparkSession, landing_dir: str, pattern: str = "*.jso
 
 def _merge_batch(base: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if versions.committed_batch(spark, base, batch_id):
-            return
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        pipeline.merge_payloads_into(base, batch, now, batch_id)
+        pipeline.merge_payloads_into(base, batch)
     return run
 
 
@@ -62,7 +55,7 @@ def start_silver_stream(spark: SparkSession, landing_dir: str, base: str,
     """Start the landing → silver stream.  ``available_now`` processes what
     is there and stops (scheduled runs); otherwise a processing-time trigger."""
     ensure_utc(spark)
-    ckpt = checkpoint or f"{shared_dir(spark)}/obsengine/streams/silver"
+    ckpt = checkpoint or f"{base.rstrip('/')}_stream"
     writer = (landed_payloads(spark, landing_dir).writeStream
               .foreachBatch(_merge_batch(base)).option("checkpointLocation", ckpt))
     if available_now:
@@ -73,5 +66,5 @@ def start_silver_stream(spark: SparkSession, landing_dir: str, base: str,
 
 
 def current_state(spark: SparkSession, base: str) -> DataFrame:
-    """The newest published silver version (all partitions)."""
-    return versions.read_partitions(spark, base)
+    """The silver state (all partitions)."""
+    return partitions.read(spark, base)

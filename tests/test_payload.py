@@ -4,9 +4,10 @@ import hashlib
 from pyspark.sql import functions as F
 
 from conftest import fixture_bytes, payloads, t
+from obsengine.session import ensure_utc
 from obsengine.sources import payload
 
-GOLDEN_KEY = "1203e18b2212aafb8dee8d21e3da19a6da9f21d4df90f88eae023b8c81b18035"
+GOLDEN_KEY = "51e0478cec43aff18ea2660ad01da6182cf714e14ff1fcfd85addd42bea00825"
 
 
 def parse(spark, items, **kw):
@@ -19,10 +20,10 @@ def test_v1_is_typed_and_keyed(spark):
     r = rows[0]
     assert r.quality_status == "valid" and r.quality_reason is None
     assert r.flight_instance_key == GOLDEN_KEY
-    assert (r.flight_iata, r.departure_airport_iata, r.arrival_airport_iata) == ("EA101", "JFK", "LAX")
-    assert r.scheduled_departure_at.isoformat() == "2026-08-20T14:00:00"
-    assert (r.delay_minutes, r.is_delayed, r.flight_status) == (27, True, "landed")
-    assert r.airline_name == "Example Air" and r.aircraft_type is None
+    assert (r.flight_iata, r.departure_airport_iata, r.arrival_airport_iata) == ("FV7204", "OSL", "BGO")
+    assert r.scheduled_departure_at.isoformat() == "2026-09-03T09:30:00"
+    assert (r.delay_minutes, r.is_delayed, r.flight_status) == (33, True, "landed")
+    assert r.airline_name == "Fjordvinge" and r.aircraft_type is None
     assert r.source_file == "v1.json" and r.payload_sha256 == hashlib.sha256(fixture_bytes("v1")).hexdigest()
 
 
@@ -30,14 +31,14 @@ def test_late_correction_same_key(spark):
     rows = parse(spark, [("v1", t(10), fixture_bytes("v1")),
                          ("late", t(11), fixture_bytes("late_correction"))]).orderBy("observed_at").collect()
     assert rows[0].flight_instance_key == rows[1].flight_instance_key
-    assert [r.delay_minutes for r in rows] == [27, 41]
+    assert [r.delay_minutes for r in rows] == [33, 52]
 
 
 def test_additive_field_seen_with_value(spark):
     df = parse(spark, [("v1", t(10), fixture_bytes("v1")), ("v2", t(11), fixture_bytes("v2_additive"))])
     assert payload.saw_additive(df).first()["saw"] is True
     got = {r.source_file: r.aircraft_type for r in df.collect()}
-    assert got == {"v1": None, "v2": "a321neo"}
+    assert got == {"v1": None, "v2": "e195-e2"}
     v1_only = parse(spark, [("v1", t(10), fixture_bytes("v1"))])
     assert payload.saw_additive(v1_only).first()["saw"] is False
 
@@ -49,12 +50,12 @@ def test_key_with_null_value_counts_as_seen(spark):
 
 
 def test_bad_key_and_negative_delay_both_reported(spark):
-    doc = fixture_bytes("v1").replace(b'"iata": "EA101"', b'"iata": null').replace(b'"delay": 27', b'"delay": -1')
+    doc = fixture_bytes("v1").replace(b'"iata": "FV7204"', b'"iata": null').replace(b'"delay": 33', b'"delay": -1')
     r = parse(spark, [("bad", t(10), doc)]).first()
     assert r.quality_status == "quarantined"
     assert r.quality_reason == "missing flight.iata; negative delay"
     assert r.flight_instance_key == f"quarantine:{hashlib.sha256(doc).hexdigest()}:0"
-    assert r.departure_airport_iata == "JFK"  # parsed fields are kept
+    assert r.departure_airport_iata == "OSL"  # parsed fields are kept
 
 
 def test_invalid_json_is_one_quarantined_row(spark):
@@ -97,3 +98,17 @@ def test_identical_bad_payload_collapses(spark):
     from obsengine.plans import pipeline
     df = parse(spark, [("a", t(1), b"oops"), ("a", t(2), b"oops")]).drop("pos")
     assert pipeline.silver(payload.observations(df)).count() == 1
+
+
+def test_byte_order_mark_and_repeated_keys_are_read(spark):
+    ensure_utc(spark)
+    plain = fixture_bytes("v1")
+    twice = plain.replace(b'"data":', b'"data": 1, "data":', 1)
+    rows = parse(spark, [("bom", t(10), b"\xef\xbb\xbf" + plain), ("twice", t(10), twice)]).collect()
+    assert [r.flight_instance_key for r in rows] == [GOLDEN_KEY] * 2
+
+
+def test_timestamp_with_a_trailing_newline_is_invalid(spark):
+    doc = fixture_bytes("v1").replace(b"11:30:00+02:00", b"11:30:00+02:00\\n")
+    r = parse(spark, [("nl", t(10), doc)]).first()
+    assert r.quality_status == "quarantined" and r.scheduled_departure_at is None

@@ -1,15 +1,17 @@
 """End-to-end scenario golden: v1 → v2 → late correction → gold →
 dimension change, with published versions, as-of reads and idempotent reruns."""
-from datetime import datetime
+import os
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from conftest import fixture_bytes, payloads, t
-from obsengine.operators import quality, state, versions
+from obsengine.operators import partitions, quality, state, versions
 from obsengine.plans import pipeline
 from obsengine.schemas import OBSERVATION
+from obsengine.sources import landing
 
-KEY = "1203e18b2212aafb8dee8d21e3da19a6da9f21d4df90f88eae023b8c81b18035"
+KEY = "51e0478cec43aff18ea2660ad01da6182cf714e14ff1fcfd85addd42bea00825"
 T1, T2, T3, T4 = t(1), t(2), t(3), t(4)
 LANDED = [("v1", T1, "v1"), ("v2", T2, "v2_additive"), ("late", T3, "late_correction"),
           ("dim", T4, "dimension_change")]
@@ -28,24 +30,24 @@ def test_scenario(spark, tmp_path):
     silver = state.current(tagged)
     assert "aircraft_type" not in silver.columns
     r = silver.first()
-    assert (r.flight_instance_key, r.delay_minutes, r.observed_at) == (KEY, 27, T1)
+    assert (r.flight_instance_key, r.delay_minutes, r.observed_at) == (KEY, 33, T1)
     versions.publish(silver, base, T1)
 
-    # v2: evolved, a321neo, observed t2 (published: version 1)
+    # v2: evolved, e195-e2, observed t2 (published: version 1)
     silver = state.current(pipeline.bronze_to_silver(versions.read_version(spark, base), window(spark, 2)))
     r = silver.first()
-    assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (27, "a321neo", T2)
+    assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (33, "e195-e2", T2)
     assert versions.publish(silver, base, T2) == 1
 
-    # late correction: delay 41, additive field back to NULL; version 1 unchanged
+    # late correction: delay 52, additive field back to NULL; version 1 unchanged
     tagged = pipeline.bronze_to_silver(versions.read_version(spark, base), window(spark, 3))
     assert {r._change for r in tagged.collect()} == {"update"}
     versions.publish_if_changed(tagged, base, T3)
     silver = versions.read_version(spark, base)
     r = silver.first()
-    assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (41, None, T3)
+    assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (52, None, T3)
     old = versions.read_version(spark, base, 1).first()
-    assert (old.delay_minutes, old.aircraft_type) == (27, "a321neo")
+    assert (old.delay_minutes, old.aircraft_type) == (33, "e195-e2")
 
     # rerun of the same window: zero changes, nothing published
     rerun = pipeline.bronze_to_silver(silver, window(spark, 3))
@@ -55,26 +57,26 @@ def test_scenario(spark, tmp_path):
     # gold
     g = pipeline.gold_from_silver(silver)
     f = g.fact.collect()
-    assert len(f) == 1 and (f[0].delay_minutes, f[0].is_delayed) == (41, True)
-    assert [(r.airline_iata, r.effective_from, r.is_current) for r in g.airline_dim.collect()] == [("EA", T3, True)]
-    assert sorted((r.airport_iata, r.effective_from) for r in g.airport_dim.collect()) == [("JFK", T3), ("LAX", T3)]
-    hour = datetime(2026, 8, 20, 14)
-    assert [tuple(r) for r in g.airline_hour.collect()] == [("EA", hour, 1, 1, 1.0, 41.0)]
-    assert [tuple(r) for r in g.airport_hour.collect()] == [("JFK", hour, 1, 1, 1.0, 41.0)]
+    assert len(f) == 1 and (f[0].delay_minutes, f[0].is_delayed) == (52, True)
+    assert [(r.airline_iata, r.effective_from, r.is_current) for r in g.airline_dim.collect()] == [("FV", T3, True)]
+    assert sorted((r.airport_iata, r.effective_from) for r in g.airport_dim.collect()) == [("BGO", T3), ("OSL", T3)]
+    hour = datetime(2026, 9, 3, 9)
+    assert [tuple(r) for r in g.airline_hour.collect()] == [("FV", hour, 1, 1, 1.0, 52.0)]
+    assert [tuple(r) for r in g.airport_hour.collect()] == [("OSL", hour, 1, 1, 1.0, 52.0)]
 
     # dimension change: new labels from t4, old versions closed at t4
     step = state.materialize(pipeline.bronze_to_silver(silver, window(spark, 4)))
     silver2 = state.current(step)
     changes = step.where(F.col("_change") != "keep")
     r = silver2.first()
-    assert (r.airline_name, r.observed_at) == ("Example Air Group", T4)
+    assert (r.airline_name, r.observed_at) == ("Fjordvinge Nord", T4)
     g2 = pipeline.gold_from_silver(silver2, previous=g)
     dims = sorted((r.airline_name, r.effective_to, r.is_current) for r in g2.airline_dim.collect())
-    assert dims == [("Example Air", T4, False), ("Example Air Group", None, True)]
+    assert dims == [("Fjordvinge", T4, False), ("Fjordvinge Nord", None, True)]
     ap = g2.airport_dim.collect()
     assert len(ap) == 4 and sum(r.is_current for r in ap) == 2
     assert sorted(r.effective_to for r in ap if not r.is_current) == [T4, T4]
-    assert [tuple(r) for r in g2.airline_hour.collect()] == [("EA", hour, 1, 1, 1.0, 41.0)]
+    assert [tuple(r) for r in g2.airline_hour.collect()] == [("FV", hour, 1, 1, 1.0, 52.0)]
     assert g2.fact.count() == 1
     inc = pipeline.gold_incremental(silver2, g)
     inc2 = pipeline.gold_incremental(silver2, g, silver_changes=changes)
@@ -107,19 +109,53 @@ def test_assert_all_raises_with_counts(spark):
 
 def test_partitioned_merge_with_evolution(spark, tmp_path):
     base = str(tmp_path / "silver_parts")
-    v0 = pipeline.merge_payloads_into(base, window(spark, 1), T1)
-    v1 = pipeline.merge_payloads_into(base, window(spark, 2).where(F.col("observed_at") == T2), T2)
-    assert (v0, v1) == (0, 1)
-    from obsengine.operators import versions as V
-    old = V.read_partitions(spark, base, version=0)
-    assert "aircraft_type" not in old.columns
-    r = V.read_partitions(spark, base).first()
-    assert (r.aircraft_type, r.delay_minutes, r.observed_at) == ("a321neo", 27, T2)
-    # the late correction lacks the field: NULL once evolved; replaying it is a no-op
+    assert {r._change for r in pipeline.merge_payloads_into(base, window(spark, 1)).collect()} == {"insert"}
+    assert "aircraft_type" not in partitions.read(spark, base).columns
+    step = pipeline.merge_payloads_into(base, window(spark, 2).where(F.col("observed_at") == T2)).collect()
+    assert [(r._change, r._part) for r in step] == [("update", "2026-09-03")]
+    r = partitions.read(spark, base).first()
+    assert (r.aircraft_type, r.delay_minutes, r.observed_at) == ("e195-e2", 33, T2)
+    # the late correction lacks the field: NULL once evolved; replaying it writes nothing
     late = window(spark, 3).where(F.col("observed_at") == T3)
-    assert pipeline.merge_payloads_into(base, late, T3) == 2
-    assert pipeline.merge_payloads_into(base, late, T3) is None
-    r = V.read_partitions(spark, base).first()
-    assert (r.aircraft_type, r.delay_minutes) == (None, 41)
-    parts = spark.read.parquet(base + "_manifest").where("version = 2").collect()
-    assert [(p._part, p.data_version) for p in parts] == [("2026-08-20", 2)]
+    assert pipeline.merge_payloads_into(base, late) is not None
+    files = sorted(os.listdir(f"{base}/_part=2026-09-03"))
+    assert pipeline.merge_payloads_into(base, late) is None
+    assert sorted(os.listdir(f"{base}/_part=2026-09-03")) == files
+    r = partitions.read(spark, base).first()
+    assert (r.aircraft_type, r.delay_minutes) == (None, 52)
+
+
+def test_first_merge_of_an_empty_window(spark, tmp_path):
+    base = str(tmp_path / "none")
+    assert pipeline.merge_payloads_into(base, window(spark, 0)) is None
+    assert partitions.read(spark, base) is None
+
+
+def test_failed_run_is_run_again(spark, tmp_path):
+    base = str(tmp_path / "again")
+    for _ in range(2):  # the second run stands for a retry after a crash behind the write
+        pipeline.merge_payloads_into(base, window(spark, 2))
+    assert partitions.read(spark, base).count() == 1
+
+
+def test_old_state_without_label_columns(spark, tmp_path):
+    labels = ["airline_name", "departure_airport_name", "arrival_airport_name"]
+    old = state.current(pipeline.bronze_to_silver(spark.createDataFrame([], OBSERVATION),
+                                                  window(spark, 1))).drop(*labels)
+    r = state.current(pipeline.bronze_to_silver(old, window(spark, 1))).first()
+    assert r.airline_name == "Fjordvinge" and r.arrival_airport_name == "Flesland"
+
+
+def test_look_back_run(spark, tmp_path):
+    store, log, base = (str(tmp_path / n) for n in ("store", "log", "state"))
+    schema = ("ingestion_id string, http_status int, body binary, transport_error string, "
+              "storage_error string, endpoint string, params map<string,string>, ingested_at timestamp")
+    utc = lambda ts: ts.replace(tzinfo=timezone.utc)
+    rows = [(p, 200, bytearray(fixture_bytes(f)), None, None, "flights", {}, utc(ts)) for p, ts, f in LANDED[:2]]
+    rows.append(("down", 503, None, "timeout", None, "flights", {}, utc(T2)))
+    landing.land(spark.createDataFrame(rows, schema), "src", "b", store, log)
+    run = pipeline.bronze_to_silver_run(spark, log, store, base, T3)
+    assert [tuple(r) for r in run.select("files", "parsed", "staged", "inserted", "updated").collect()] == [(2, 2, 1, 1, 0)]
+    again = pipeline.bronze_to_silver_run(spark, log, store, base, T3).first()
+    assert (again.inserted, again.updated, again.column_added) == (0, 0, False)
+    assert partitions.read(spark, base).first().delay_minutes == 33

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsengine.operators import state, versions
+from obsengine.operators import partitions, state, versions
 from obsengine.schemas import ADDITIVE_FIELDS
 
 SCHEMA = "k string, v int, label string, observed_at timestamp_ntz, sha string, src string"
@@ -132,44 +132,41 @@ def test_broadcast_plan_equals_shuffle_plan(spark):
         st = state.current(state.upsert_latest(batch(spark, []), batch(spark, bs[0]), "k", ORDER))
         stage = batch(spark, bs[1] + bs[2])
         a = state.upsert_latest(st, stage, "k", ORDER, backfill=["label"])
-        b = state.upsert_latest(st, stage, "k", ORDER, backfill=["label"], small_stage=True)
+        b = state.upsert_latest(st, stage, "k", ORDER, backfill=["label"], stage_written=True)
         c = state.upsert_latest_sized(st, stage, "k", ORDER, backfill=["label"])
         key = lambda r: repr(r)
         assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
         assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, c.collect()), key=key)
 
 
-def test_broadcast_plan_does_not_shuffle_state(spark):
+def test_written_stage_is_joined_without_shuffling_the_state(spark):
     st = batch(spark, [("a", 1, "A", T0, "s", "f")])
-    stage = batch(spark, [("a", 2, "A", T0 + timedelta(hours=1), "s", "f")])
-    plan = state.upsert_latest(st, stage, "k", ORDER, small_stage=True)._jdf \
+    stage = state.materialize(batch(spark, [("a", 2, "A", T0 + timedelta(hours=1), "s", "f")]))
+    plan = state.upsert_latest(st, stage, "k", ORDER, stage_written=True,
+                               stage_is_latest=True)._jdf \
         .queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan
 
 
-def test_partitioned_versions_rewrite_only_touched(spark, tmp_path):
+def test_partitions_rewrite_only_touched(spark, tmp_path):
     base = str(tmp_path / "pstate")
-    part = F.to_date("observed_at")
+    part = partitions.part_value(F.to_date("observed_at"), F.col("k"))
     day = lambda d, h=0: datetime(2026, 1, d, h)
-    first = batch(spark, [("a", 1, "A", day(1), "s", "f"), ("b", 2, "B", day(2), "s", "f")])
-    v0 = versions.publish_partitions(state.upsert_latest(batch(spark, []), first, "k", ORDER),
-                                     base, day(3), part)
-    assert v0 == 0
-    # a change on day 2 only: read and rewrite that partition, carry day 1
-    cur = versions.read_partitions(spark, base, ["2026-01-02"])
-    assert [r.k for r in cur.collect()] == ["b"]
-    tagged = state.upsert_latest(cur, batch(spark, [("b", 5, "B", day(2, 5), "s", "f")]), "k", ORDER)
-    # partition is fixed by the key here only if the day stays; it does
-    v1 = versions.publish_partitions(tagged, base, day(4), part)
-    assert v1 == 1
-    assert os.listdir(f"{base}/version=1") and not os.path.exists(f"{base}/version=1/_part=2026-01-01")
-    got = sorted((r.k, r.v) for r in versions.read_partitions(spark, base).collect())
-    assert got == [("a", 1), ("b", 5)]
-    assert sorted((r.k, r.v) for r in versions.read_partitions(spark, base, version=0).collect()) == [("a", 1), ("b", 2)]
-    # no-op publishes nothing
-    noop = state.upsert_latest(versions.read_partitions(spark, base, ["2026-01-02"]),
-                               batch(spark, [("b", 5, "B", day(2, 5), "s", "f")]), "k", ORDER)
-    assert versions.publish_partitions(noop, base, day(5), part) is None
+
+    def merge(rows, parts=None):
+        before = partitions.read(spark, base, parts)
+        cur = before if before is not None else batch(spark, [])
+        changes = partitions.change_set(state.upsert_latest(cur, batch(spark, rows), "k", ORDER), part)
+        return partitions.write_changed(spark, base, before, changes, ["k"], part)
+
+    assert merge([("a", 1, "A", day(1), "s", "f"), ("b", 2, "B", day(2), "s", "f"),
+                  ("c", 3, "C", day(2), "s", "f")]) == ["2026-01-01", "2026-01-02"]
+    files = sorted(os.listdir(f"{base}/_part=2026-01-01"))
+    assert [r.k for r in partitions.read(spark, base, ["2026-01-01"]).collect()] == ["a"]
+    assert merge([("b", 5, "B", day(2, 5), "s", "f")], ["2026-01-02"]) == ["2026-01-02"]
+    assert sorted(os.listdir(f"{base}/_part=2026-01-01")) == files
+    assert sorted((r.k, r.v) for r in partitions.read(spark, base).collect()) == [("a", 1), ("b", 5), ("c", 3)]
+    assert merge([("b", 5, "B", day(2, 5), "s", "f")], ["2026-01-02"]) == []
 
 
 def test_describe(spark):
