@@ -121,9 +121,10 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
     rows = (texts.join(F.broadcast(chosen), "id")
             .select(F.col("id").cast("string"), F.col("label").cast("int"), "text")
             .mapInPandas(count, "id string, label int, idx array<int>, n array<int>").toPandas())
-    found = sorted((id_, int(y), tuple(i), tuple(n)) for id_, y, i, n in
-                   zip(rows["id"], rows["label"], rows["idx"], rows["n"], strict=True))
-    return [(np.array(i), np.array(n, np.float64), y) for _, y, i, n in found]
+    # Arrays stay arrays: as Python numbers the sample would take ten times the memory.
+    found = sorted(zip(rows["id"], rows["label"], rows["idx"], rows["n"], strict=True),
+                   key=lambda r: (r[0], int(r[1]), r[2].tobytes()))
+    return [(idx, n.astype(np.float32), int(y)) for _, y, idx, n in found]
 
 
 def score(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> DataFrame:
