@@ -120,11 +120,12 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
     # At most ``most`` ids: a bound that does not grow with the table.
     rows = (texts.join(F.broadcast(chosen), "id")
             .select(F.col("id").cast("string"), F.col("label").cast("int"), "text")
-            .mapInPandas(count, "id string, label int, idx array<int>, n array<int>").toPandas())
+            .mapInPandas(count, "id string, label int, idx array<int>, n array<int>").toArrow())
     # Arrays stay arrays: as Python numbers the sample would take ten times the memory.
-    found = sorted(zip(rows["id"], rows["label"], rows["idx"], rows["n"], strict=True),
-                   key=lambda r: (r[0], int(r[1]), r[2].tobytes()))
-    return [(idx, n.astype(np.float32), int(y)) for _, y, idx, n in found]
+    idx, n = ([x.values.to_numpy() for x in rows[c]] for c in ("idx", "n"))
+    found = sorted(zip(rows["id"].to_pylist(), rows["label"].to_pylist(), idx, n, strict=True),
+                   key=lambda r: (r[0], r[1], r[2].tobytes()))
+    return [(i, k.astype(np.float32), y) for _, y, i, k in found]
 
 
 def score(docs: DataFrame, model: np.ndarray, text_col: str = "text") -> DataFrame:
