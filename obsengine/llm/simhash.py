@@ -23,8 +23,8 @@ exactly.  This is linear in the members and needs no gathering.
 Defined cases: a null text counts as empty; a text without words has fingerprint
 zero, which links like any other; fewer words than a shingle are hashed whole; a
 null id takes part but never names a component (a component of null ids has null);
-repeated rows share a fingerprint; an empty table gives no rows; other columns
-are kept by ``dedup`` and ignored by ``groups``.
+repeated rows share a fingerprint, and ``dedup`` keeps one of them; an empty table
+gives no rows; other columns are kept by ``dedup`` and ignored by ``groups``.
 """
 
 from __future__ import annotations
@@ -238,11 +238,8 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS,
     return direct.unionByName(spread_links(crowded, max_bits))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-           max_bits: int = MAX_BITS, run_limit: int = RUN_LIMIT) -> DataFrame:
-    """``id_col, fingerprint, component_id, links`` per row; ``links`` counts the
-    documents with the same fingerprint, itself not included."""
-    rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+def _named(rows: DataFrame, max_bits: int, run_limit: int) -> DataFrame:
+    """``fp, root, component_id, n`` per distinct fingerprint of ``id, fp``."""
     classes = written(rows.groupBy("fp").agg(F.min("id").alias("first_id"),
                                              F.count(F.lit(1)).alias("n")), "simhash-classes")
     links = fingerprint_links(classes.select("fp"), max_bits, run_limit)
@@ -250,20 +247,31 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     named = (classes.join(roots, classes["fp"] == roots["node"], "left")
              .select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")))
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(named.join(names, "root").select("fp", "component_id", "n"), "simhash-names")
-    return rows.join(named, "fp").select(
+    return written(named.join(names, "root").select("fp", "root", "component_id", "n"), "simhash-names")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+           max_bits: int = MAX_BITS, run_limit: int = RUN_LIMIT) -> DataFrame:
+    """``id_col, fingerprint, component_id, links`` per row; ``links`` counts the
+    documents with the same fingerprint, itself not included."""
+    rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+    return rows.join(_named(rows, max_bits, run_limit), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id", (F.col("n") - 1).alias("links"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that stay: of each component the rows with its smallest id,
-    with all their columns; rows that repeat an id stay once per component, and
-    rows of a component without any id stay."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+          max_bits: int = MAX_BITS, run_limit: int = RUN_LIMIT) -> DataFrame:
+    """One document of each component, with all its columns: the one with the
+    smallest id (without any id: any id); if several texts share that id, the one
+    with the smallest hash; of rows that repeat id and text, one."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = groups(docs, id_col, text_col, **options).select(
-        F.col(id_col).alias("_id"), F.col("component_id").alias("_component")).where(
-        "_id <=> _component").distinct()
-    kept = (docs.select(whole.alias("_row"), F.col(id_col).alias("_id"))
-            .join(found, F.col("_row").getField(id_col).eqNullSafe(found["_id"]), "left_semi"))
+    keyed = docs.select(whole.alias("_row"), F.col(text_col).alias("_text"), F.struct(
+        F.col(id_col).alias("id"), F.xxhash64(body(text_col)).alias("h")).alias("_key"))
+    rows = written(fingerprints(keyed, "_key", "_text", shingle)
+                   .select(F.col("id").alias("key"), F.col("id.id").alias("id"), "fp"), "simhash-rows")
+    chosen = (rows.join(_named(rows, max_bits, run_limit).select("fp", "root", "component_id"), "fp")
+              .where("id <=> component_id")
+              .groupBy("root").agg(F.min("key").alias("_key")))
+    kept = keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"])
     return kept.select("_row.*")

@@ -113,6 +113,17 @@ def test_groups_of_hard_rows(spark):
     assert simhash.groups(docs.limit(0)).count() == 0
 
 
+def test_dedup_keeps_one_row_of_each_component(spark):
+    one, two, three = ("first words " * 20, "another text " * 20, "third of them " * 20)
+    rows = [(5, one, "a"), (5, one, "b"), (6, one, "c"), (5, two, "d"), (2, two, "e"),
+            (None, three, "f"), (None, three, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string")
+    kept = simhash.dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", two), ("5", one), ("None", three)]
+    assert simhash.dedup(docs.limit(0)).count() == 0
+
+
 # -- URL filters ---------------------------------------------------------------
 
 def test_rules_and_link_graph(spark):
