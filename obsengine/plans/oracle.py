@@ -10,7 +10,7 @@ Spark results.
 from __future__ import annotations
 
 from .queries import (AS_OF, CUT, DETAIL_ROWS, LOOKBACK_AS_OF, LOOKBACK_HOURS, RECENT,
-                      WINDOW_START)
+                      RUN_HOURS, WINDOW_START)
 
 
 def _iso(ts: str) -> str:
@@ -420,6 +420,7 @@ ORDER BY scheduled_departure_at DESC NULLS LAST, delay_minutes DESC NULLS LAST,
 LIMIT {DETAIL_ROWS}"""
     q["agg_airline_hour"] = GOLD + "SELECT * FROM airline_hour"
     q["rollup_refresh"] = GOLD + "SELECT * FROM airline_hour"
+    q["gold_run"] = GOLD + "SELECT * FROM airline_hour"
     q["agg_airport_hour"] = GOLD + "SELECT * FROM airport_hour"
     q["latest_per_key"] = GOLD + "SELECT * FROM silver"
     as_of = _with(FLIGHT_OBS, _latest("flight_obs", "old", f"observed_at <= TIMESTAMP '{AS_OF}'"),
@@ -560,6 +561,30 @@ WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUT}')"""
 
     q["parse_payloads"] = PARSED + f"SELECT {PARSED_COLS} FROM parsed"
     q["payload_silver"] = q["parse_payloads"]
+    q["bronze_to_silver_run"] = PARSED.rstrip() + f""",
+sent AS (
+  SELECT p.*, y.payload_sha256 AS new_sha, y.b IS NOT NULL AS resent
+  FROM parsed p LEFT JOIN (
+    SELECT q.b, q.object_path, sha256(replace(CASE
+             WHEN q.bfault = 'not_array' THEN '{{"data":{{"offset":' || (q.b * 4) || '}}}}'
+             WHEN q.bfault = 'truncated' THEN left(x.full_text, length(x.full_text) - 2)
+             ELSE x.full_text END, '"Airline ', '"Carrier ')) AS payload_sha256
+    FROM payloads q JOIN bodies x USING (b) WHERE q.b % 5 = 0) y ON p.source_file = y.object_path),
+logged AS (
+  SELECT {PARSED_COLS} FROM parsed
+  UNION ALL BY NAME
+  SELECT {PARSED_COLS} FROM (
+    SELECT * REPLACE (
+      CASE WHEN quality_status = 'valid' THEN flight_instance_key
+           ELSE 'quarantine:' || new_sha || ':' || pos END AS flight_instance_key,
+      replace(airline_name, 'Airline ', 'Carrier ') AS airline_name,
+      observed_at + INTERVAL 1 HOUR AS observed_at,
+      replace(source_file, '/b', '/c') AS source_file, new_sha AS payload_sha256)
+    FROM sent WHERE resent))
+SELECT unnest(max_by(r, struct_pack(a := r.observed_at, b := r.payload_sha256, c := r.source_file)))
+FROM (SELECT logged AS r FROM logged
+      WHERE observed_at >= TIMESTAMP '{LOOKBACK_AS_OF}' - INTERVAL {RUN_HOURS} HOUR)
+GROUP BY r.flight_instance_key"""
     q["quarantine_reasons"] = PARSED + """
 SELECT quality_reason, COUNT(*) AS rows FROM parsed WHERE quality_status = 'quarantined' GROUP BY quality_reason"""
     q["explode_positions"] = PARSED + "SELECT payload_sha256, CAST(pos AS INTEGER) AS pos, quality_status FROM parsed"

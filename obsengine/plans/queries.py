@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import partitions, quality, scd, state, versions
-from ..schemas import (ADDITIVE_FIELDS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_KEY,
-                       OBSERVATION_ORDER, ROLLUP_MEASURES)
+from ..schemas import (ADDITIVE_FIELDS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_EVOLVED,
+                       OBSERVATION_KEY, OBSERVATION_ORDER, ROLLUP_MEASURES)
 from ..session import ensure_utc, scratch_path
 from ..sources import bindings, landing, payload
 from . import pipeline, serve
@@ -28,6 +28,7 @@ RECENT = "1997-01-01 00:00:00"       # stage of the keep-missing rollup upsert
 WINDOW_START = "2001-09-01 00:00:00"  # a short look-back window merged incrementally
 LOOKBACK_AS_OF = "2024-01-20 00:00:00"
 LOOKBACK_HOURS = 48
+RUN_HOURS = 240                      # first look-back run; a second one takes LOOKBACK_HOURS
 DETAIL_ROWS = 500
 
 
@@ -209,6 +210,14 @@ def rollup_refresh(spark, sf):
                                      silver_changes=changes).airline_hour
 
 
+def gold_run(spark, sf):
+    """Two stored gold runs (early state, then the full state); the airline rollup."""
+    base = scratch_path(spark, "gold")
+    pipeline.gold_run(pipeline.silver(_early(spark, sf)), base, grain="month")
+    pipeline.gold_run(_silver(spark, sf), base, grain="month")
+    return partitions.read(spark, f"{base}/airline_hour")
+
+
 def schema_evolution_union(spark, sf):
     """Stage carries the additive field; the state gains it (old rows NULL)."""
     old = pipeline.silver(_early(spark, sf))
@@ -369,6 +378,35 @@ def payload_silver(spark, sf):
     return pipeline.silver(payload.observations(parsed))
 
 
+def _resent(bodies: DataFrame) -> DataFrame:
+    """Every body, and every fifth once more an hour later with other airline names."""
+    again = (bodies.where(F.regexp_extract("object_path", r"/b(\d+)\.json$", 1).cast("long") % 5 == 0)
+             .select(F.regexp_replace("object_path", "/b", "/c").alias("object_path"),
+                     (F.col("observed_at") + F.make_dt_interval(F.lit(0), F.lit(1))).alias("observed_at"),
+                     F.encode(F.replace(F.col("body").cast("string"), F.lit('"Airline '),
+                                        F.lit('"Carrier ')), "UTF-8").alias("body")))
+    return bodies.select("object_path", "observed_at", "body").unionByName(again)
+
+
+def bronze_to_silver_run(spark, sf):
+    """Landed log and body store, then two look-back runs into a partitioned state."""
+    ensure_utc(spark)
+    log, store, base = (scratch_path(spark, n) for n in ("run-log", "run-store", "run-silver"))
+    landed = state.materialize(
+        _resent(bindings.payload_log(spark, sf)).withColumn("ingestion_date", F.to_date("observed_at")),
+        "run-landed")
+    (landed.select(F.col("object_path").alias("path"), F.col("body").alias("content"), "ingestion_date")
+     .hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date").parquet(store))
+    (landed.select("object_path", F.col("observed_at").alias("ingested_at"),
+                   F.sha2("body", 256).alias("payload_sha256"), F.lit(200).alias("http_status"),
+                   "ingestion_date")
+     .hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date").parquet(log))
+    pipeline.bronze_to_silver_run(spark, log, store, base, _ts(LOOKBACK_AS_OF), RUN_HOURS)
+    pipeline.bronze_to_silver_run(spark, log, store, base, _ts(LOOKBACK_AS_OF), LOOKBACK_HOURS)
+    silver = partitions.read(spark, base)
+    return spark.createDataFrame([], OBSERVATION_EVOLVED) if silver is None else silver
+
+
 # -- landing (A1–A7, B1–B9, D1–D3) -------------------------------------------
 
 def _responses(spark, sf):
@@ -455,6 +493,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg_upsert_changed": agg_upsert_changed,
     "agg_upsert_keep_missing": agg_upsert_keep_missing,
     "rollup_refresh": rollup_refresh,
+    "gold_run": gold_run,
     "schema_evolution_union": schema_evolution_union,
     "scd2_history": scd2_history,
     "scd2_merge_step": scd2_merge_step,
@@ -474,6 +513,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "instance_keys": instance_keys,
     "additive_field": additive_field,
     "payload_silver": payload_silver,
+    "bronze_to_silver_run": bronze_to_silver_run,
     "response_log_rules": response_log_rules,
     "param_redaction": param_redaction,
     "param_parse": param_parse,

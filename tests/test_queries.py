@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from obsengine.plans import oracle, queries
 from obsengine.sources.tables import TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = queries.REGISTRY
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +41,8 @@ def _rows(cols, records):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
