@@ -13,7 +13,9 @@ hash of their id); what reaches the driver is one count per known context.
 Pages are independent, so extraction is one stage without a shuffle.
 
 Defined cases: null or empty html, or a page without words, gives an empty text;
-unclosed and stray tags are closed as a browser closes them; without labelled
+unclosed and stray tags are closed as a browser closes them; an unclosed script,
+style, textarea or iframe takes the rest of the page, as in a browser, while any
+other skipped element that nothing closes ends at the next block; without labelled
 pages the prior weights are used; of equal sums the first region wins; repeated
 rows give equal texts; an empty table gives no rows; other columns are ignored.
 """
@@ -39,7 +41,8 @@ MOST = 4.0
 
 #: Element names by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|noscript|template|iframe|svg|math|object|canvas|select|textarea|button"
+RAW = "script|style|textarea|iframe"
+SKIPPED = frozenset("noscript template svg math object canvas select button".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav "
@@ -65,10 +68,10 @@ ROLES = frozenset(ROLE_OF_TAG.values()) | frozenset(ROLE_OF_NAME.values())
 KNOWN = BLOCK | INLINE | VOID
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*>|</?[a-z][^<>\"']*(?:(?:\"[^\"<]*\"|'[^'<]*')[^<>\"']*)*>|</?[a-z][^<>]*>|[^<]+|<",
     re.S | re.I)
-NAME = re.compile(r"</?([a-z][a-z0-9]*)", re.I)
+NAME = re.compile(r"</?([a-z][^\s/<>]*)", re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[^A-Za-z0-9]+")
 
@@ -83,25 +86,37 @@ def role(tag: str, name: str) -> str | None:
     return found
 
 
-def events(page: str) -> Iterator[tuple[str, str, str, bool]]:
+def events(page: str) -> list[tuple[str, str, str, bool]]:
     """``(kind, context, text, in article)``: kind ``text`` with its context (a
     boilerplate role, or the nearest block's name), or ``tag`` with its context (a
     boilerplate role, or the element's name) and the element's name as text."""
+    found: list[tuple[str, str, str, bool]] = []
     stack: list[tuple[str, str | None, str]] = []
     open_names: Counter[str] = Counter()
+    skipped: list[tuple[int, int]] = []  # (depth, events before) of open skipped elements
 
     def pop_to(name: str) -> None:
         while stack:
             top = stack.pop()[0]
             open_names[top] -= 1
+            if skipped and skipped[-1][0] == len(stack):
+                cut(skipped.pop()[1], top == name)
             if top == name:
                 return
 
+    def cut(begin: int, whole: bool) -> None:
+        """Drop a skipped element: all of it, or up to the next block if nothing closed it."""
+        end = begin
+        while end < len(found) and (whole or end == begin or not (
+                found[end][0] == "tag" and found[end][2] in BLOCK)):
+            end += 1
+        del found[begin:end]
+
     for m in TOKEN.finditer(page):
         token = m.group()
         if token[0] != "<" or len(token) == 1:
             top = stack[-1] if stack else ("", None, "body")
-            yield "text", top[1] or top[2], entities.unescape(token), open_names["article"] > 0
+            found.append(("text", top[1] or top[2], entities.unescape(token), open_names["article"] > 0))
             continue
         tag = NAME.match(token)
         if m.group(1) or not tag:
@@ -111,18 +126,27 @@ def events(page: str) -> Iterator[tuple[str, str, str, bool]]:
             context = (stack[-1][1] if stack else None) or name
             if open_names[name] > 0:
                 pop_to(name)
-            yield "tag", context, name, open_names["article"] > 0
+            if name not in SKIPPED:
+                found.append(("tag", context, name, open_names["article"] > 0))
             continue
-        if name in BLOCK and open_names["p"] > 0:
+        # A paragraph outside of a skipped element is not closed by what the element holds.
+        if name in BLOCK and open_names["p"] > 0 and (
+                not skipped or any(x[0] == "p" for x in stack[skipped[-1][0]:])):
             pop_to("p")
         if name in ("li", "dd", "dt", "tr", "td", "th") and stack and stack[-1][0] == name:
             pop_to(name)
         _, above, block = stack[-1] if stack else ("", None, "body")
         if name not in VOID and not token.endswith("/>"):
             above = above or role(token, name)
+            if name in SKIPPED:
+                skipped.append((len(stack), len(found)))
             stack.append((name, above, name if name in BLOCK else block))
             open_names[name] += 1
-        yield "tag", above or name, name, open_names["article"] > 0
+        elif name in SKIPPED:
+            continue
+        found.append(("tag", above or name, name, open_names["article"] > 0))
+    pop_to("")
+    return found
 
 
 def counts(page: str) -> Counter:
