@@ -4,7 +4,9 @@ A page is read as a sequence of tags and runs of words.  A word scores by the
 element that holds it, a tag by its name; both weights are log odds learned from
 labelled pages, where the publisher's own ``<article>`` marks the content.  Words
 of content elements score positive, tags never do, words of menus, footers or
-adverts score negative.  One linear scan finds the contiguous region with the
+adverts score negative, or nothing where these stand within content (a region then
+spans them).  An element's name makes no boilerplate of an article or main, nor of
+what holds one.  One linear scan finds the contiguous region with the
 largest sum; its blocks, without what still stands in a boilerplate element, are
 the text.
 
@@ -72,32 +74,66 @@ TOKEN = re.compile(
     r"|<[!?][^>]*>|</?[a-z][^<>\"']*(?:(?:\"[^\"<]*\"|'[^'<]*')[^<>\"']*)*>|</?[a-z][^<>]*>|[^<]+|<",
     re.S | re.I)
 NAME = re.compile(r"</?([a-z][^\s/<>]*)", re.I)
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+ATTRIBUTE = re.compile(
+    r"""(?<![^\s"'<>/=])([^\s"'<>/=]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|"[^"]*"|'[^']*'""")
 PART = re.compile(r"[^A-Za-z0-9]+")
+#: Parts after these tell what an element lacks or stands beside, not what it is.
+BESIDE = frozenset("with without has have no not non hide hidden show".split())
+CONTENT = frozenset(("article", "main"))
+#: An id of these is often the slug of a title: it names a role only with layout words.
+TITLED = PROSE | {"section"}
+LAYOUT = frozenset(
+    "area articles bar block body bottom box col column container content form group inner left "
+    "links list main notice outer page post posts right section signup site slot stories teaser "
+    "top unit wrap wrapper".split())
 
 
 def role(tag: str, name: str) -> str | None:
-    found = ROLE_OF_TAG.get(name)
-    if found is None and "=" in tag:
-        for groups in NAMED.findall(tag):
-            for part in PART.split("".join(groups).lower()):
-                if part in ROLE_OF_NAME and name not in ("body", "html"):
+    """What an element's class, id or role attribute makes of it."""
+    if "=" not in tag or name in ("body", "html"):
+        return None
+    for attribute, *values in ATTRIBUTE.findall(tag):
+        attribute = attribute.lower()
+        if attribute not in ("class", "id", "role"):
+            continue
+        for value in "".join(values).lower().split():
+            parts = [p for p in PART.split(value) if p]
+            # A comment is marked up as an article of its own; other articles are content.
+            if name in CONTENT:
+                if name == "article" and attribute == "class" and parts[:1] == ["comment"]:
+                    return "comments"
+                continue
+            if attribute == "id" and name in TITLED and not all(
+                    p in ROLE_OF_NAME or p in LAYOUT or p.isdigit() for p in parts):
+                continue
+            for part in parts:
+                if part in BESIDE:
+                    break
+                if part in ROLE_OF_NAME:
                     return ROLE_OF_NAME[part]
-    return found
-
-
-def events(page: str) -> list[tuple[str, str, str, bool]]:
-    """``(kind, context, text, in article)``: kind ``text`` with its context (a
-    boilerplate role, or the nearest block's name), or ``tag`` with its context (a
-    boilerplate role, or the element's name) and the element's name as text."""
-    found: list[tuple[str, str, str, bool]] = []
-    stack: list[tuple[str, str | None, str]] = []
+    return None
+
+
+def events(page: str) -> list[tuple[str, str, str, bool, bool]]:
+    """``(kind, context, text, in article, beside content)``: kind ``text`` with its
+    context (a boilerplate role, or the nearest block's name), or ``tag`` with its
+    context (a boilerplate role, or the element's name) and the element's name as text.
+    Boilerplate beside content stands in an open article or main, or in an element
+    that also holds paragraphs."""
+    found: list[tuple[str, int, str, str, bool]] = []  # (kind, frame, context, text, in article)
+    # Elements in their order: name, name of the nearest block, place of the parent, and
+    # the role by tag or by name.  An element is placed before what it holds, and a role
+    # by name falls when an article or main turns up inside.
+    names, blocks, parents = ["body"], ["body"], [0]
+    roles: list[str | None] = [None]
+    by_name: list[bool] = [False]
+    stack: list[int] = []
     open_names: Counter[str] = Counter()
     skipped: list[tuple[int, int]] = []  # (depth, events before) of open skipped elements
 
     def pop_to(name: str) -> None:
         while stack:
-            top = stack.pop()[0]
+            top = names[stack.pop()]
             open_names[top] -= 1
             if skipped and skipped[-1][0] == len(stack):
                 cut(skipped.pop()[1], top == name)
@@ -108,51 +144,81 @@ def events(page: str) -> list[tuple[str, str, str, bool]]:
         """Drop a skipped element: all of it, or up to the next block if nothing closed it."""
         end = begin
         while end < len(found) and (whole or end == begin or not (
-                found[end][0] == "tag" and found[end][2] in BLOCK)):
+                found[end][0] == "tag" and found[end][3] in BLOCK)):
             end += 1
         del found[begin:end]
 
     for m in TOKEN.finditer(page):
         token = m.group()
+        at = stack[-1] if stack else 0
         if token[0] != "<" or len(token) == 1:
-            top = stack[-1] if stack else ("", None, "body")
-            found.append(("text", top[1] or top[2], entities.unescape(token), open_names["article"] > 0))
+            found.append(("text", at, blocks[at], entities.unescape(token), open_names["article"] > 0))
             continue
         tag = NAME.match(token)
         if m.group(1) or not tag:
             continue
         name = tag.group(1).lower()
         if token[1] == "/":
-            context = (stack[-1][1] if stack else None) or name
             if open_names[name] > 0:
                 pop_to(name)
             if name not in SKIPPED:
-                found.append(("tag", context, name, open_names["article"] > 0))
+                found.append(("tag", at, name, name, open_names["article"] > 0))
             continue
         # A paragraph outside of a skipped element is not closed by what the element holds.
         if name in BLOCK and open_names["p"] > 0 and (
-                not skipped or any(x[0] == "p" for x in stack[skipped[-1][0]:])):
+                not skipped or any(names[x] == "p" for x in stack[skipped[-1][0]:])):
             pop_to("p")
-        if name in ("li", "dd", "dt", "tr", "td", "th") and stack and stack[-1][0] == name:
+        if name in ("li", "dd", "dt", "tr", "td", "th") and stack and names[stack[-1]] == name:
             pop_to(name)
-        _, above, block = stack[-1] if stack else ("", None, "body")
+        at = stack[-1] if stack else 0
         if name not in VOID and not token.endswith("/>"):
-            above = above or role(token, name)
+            by_tag = ROLE_OF_TAG.get(name)
+            named = None if by_tag else role(token, name)
+            # What is named as boilerplate inside the content stays so, whatever it holds.
+            if name == "main" or name == "article" and not named and not open_names["article"]:
+                for above in stack:
+                    if by_name[above] and names[above] != "article":
+                        roles[above] = None
             if name in SKIPPED:
                 skipped.append((len(stack), len(found)))
-            stack.append((name, above, name if name in BLOCK else block))
+            names.append(name)
+            blocks.append(name if name in BLOCK else blocks[at])
+            parents.append(at)
+            roles.append(by_tag or named)
+            by_name.append(named is not None)
+            at = len(names) - 1
+            stack.append(at)
             open_names[name] += 1
         elif name in SKIPPED:
             continue
-        found.append(("tag", above or name, name, open_names["article"] > 0))
+        found.append(("tag", at, name, name, open_names["article"] > 0))
     pop_to("")
-    return found
+
+    # Roles pass down: the outermost one counts, with the place where it stands.
+    held, roots = [False] * len(names), [0] * len(names)
+    inside = [False] * len(names)
+    for i in range(1, len(names)):
+        above = parents[i]
+        inside[i] = inside[above] or names[i] in CONTENT
+        if roles[above]:
+            roles[i], roots[i] = roles[above], roots[above]
+        elif roles[i]:
+            roots[i] = i
+        elif names[i] in ("p", "blockquote", "pre") and above and names[above] not in ("body", "html"):
+            held[above] = True
+    beside = [False] * len(names)
+    for i in range(1, len(names)):
+        if roles[i]:
+            above = parents[roots[i]]
+            beside[i] = inside[above] or held[above]
+    return [(kind, roles[i] or context, text, marked, beside[i])
+            for kind, i, context, text, marked in found]
 
 
 def counts(page: str) -> Counter:
     """Words and tags of a labelled page by context, inside the article and outside."""
     found: Counter = Counter()
-    for kind, name, text, inside in events(page):
+    for kind, name, text, inside, _ in events(page):
         if kind == "text":
             found["word", name if name in ROLES or name in KNOWN else "div", inside] += len(text.split())
         else:
@@ -184,19 +250,21 @@ def learn(found: dict) -> dict[tuple[str, str], float]:
 
 def extract(page: str | None, weights: dict[tuple[str, str], float]) -> str:
     """The text of one page."""
-    found = [(kind, name, text) for kind, name, text, _ in events(page or "")]
+    found = [(kind, name, text, beside) for kind, name, text, _, beside in events(page or "")]
     best, total, begin, span = 0.0, 0.0, 0, (0, 0)
-    for i, (kind, name, text) in enumerate(found):
+    for i, (kind, name, text, beside) in enumerate(found):
         if total <= 0.0:
             total, begin = 0.0, i
-        if kind == "text":
+        if beside:
+            pass  # not in the text anyway, so it does not cut the region either
+        elif kind == "text":
             total += len(text.split()) * weights.get(("word", name), 0.4)
         else:
             total += weights.get(("tag", name), -TAG_COST)
         if total > best:
             best, span = total, (begin, i + 1)
     blocks, current = [], []
-    for kind, name, text in found[span[0]:span[1]]:
+    for kind, name, text, _ in found[span[0]:span[1]]:
         if kind == "text":
             if name not in ROLES:
                 current.append(text)

@@ -27,3 +27,28 @@ def test_skipped_elements_inside_a_paragraph():
     assert text_of("<p>One <button><p>press</p></button> two <svg><g>x</g></svg>three</p>") == "One two three"
     assert text_of("<div><p>One two</p><button>press</div><p>Three four</p>") == "One two\n\nThree four"
     assert text_of("<p>One two</p><textarea>typed <p>text</p>") == "One two"
+
+
+@pytest.mark.parametrize("opened, closed", [
+    ("<main class='with-sidebar'>", "</main>"), ("<div class='no-sidebar'>", "</div>"),
+    ("<article class='has-comments'>", "</article>"), ("<section id='related-work'>", "</section>"),
+    ("<div data-id='header'>", "</div>"), ("<div title='class=nav x'>", "</div>"),
+    ("<div class='page sidebar-right'><main>", "</main></div>"),
+    ("<div id=header-and-all><section><article>", "</article></section></div>"),
+    ("<article class='related'>", "</article>")])
+def test_names_make_no_boilerplate_of_content(opened, closed):
+    assert text_of(f"{opened}<p>Words of the article</p>{closed}") == "Words of the article"
+
+
+@pytest.mark.parametrize("body", [
+    "<div id='comments'><article class='comment'><p>I disagree</p></article></div>",
+    "<div class='sidebar'><p>See also</p></div>", "<section id='related-posts'><p>Other posts</p></section>",
+    "<section id=comments><p>I disagree</p></section>", "<div class='x ad-slot'>Buy this</div>"])
+def test_boilerplate_stays_out(body):
+    assert text_of(f"<main><article><p>Words of the article</p></article>{body}</main>") == "Words of the article"
+
+
+@pytest.mark.parametrize("opened, closed", [("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")])
+def test_long_boilerplate_inside_content_does_not_cut_it(opened, closed):
+    body = f"<p>One two three</p><aside><p>{'advert words ' * 200}</p></aside><p>Four five</p><p>Six seven</p>"
+    assert text_of(opened + body + closed) == "One two three\n\nFour five\n\nSix seven"
