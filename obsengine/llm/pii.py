@@ -2,16 +2,19 @@
 
 Protected entities are the e-mail addresses, IP addresses, card and phone numbers
 that patterns find.  The corpus then tells which other terms give an entity away:
-for every term near an entity, counts over distinct texts estimate ``P(entity |
-term)`` and the information in bits ``log2(P(entity | term) / P(entity))``.  A term
-seen with an entity in at least ``MIN_CONTEXTS`` different contexts, that carries at
-least ``MIN_BITS`` and makes the entity at least ``REMOVE`` likely, is removed wherever
-it stands; from ``GENERALISE`` on it is replaced by a general word.
+for every term in a text with an entity, counts over distinct texts estimate
+``P(entity | term)`` and the information in bits ``log2(P(entity | term) /
+P(entity))``.  A term seen with an entity in at least ``MIN_TEXTS`` texts, that carries
+at least ``MIN_BITS`` and makes the entity at least ``REMOVE`` likely, is removed
+wherever it stands; from ``GENERALISE`` on it is replaced by a general word.
 
 Everything is built-in functions and joins.  A text is scanned for patterns in its
-map task; only spans and the words beside entities are shuffled.  Counts of terms
-are combined before the shuffle, and copies of a text count once, so a hot group
-of copies neither skews a count nor a task.
+map task.  Of the texts without an entity only their distinct terms are shuffled.
+Copies of a text count once and are combined before the shuffle, as are counts of
+terms, so a hot group of copies neither skews a count nor a task.  Pairs are made
+only where they can pass: an entity in too few texts, or in so many that no term
+tells ``MIN_BITS`` about it, has none, nor has a term in more than ``1 / GENERALISE``
+times the texts of the entity.
 
 Positions: a pattern's matches and the text between them (``split`` by the same
 pattern) alternate, so running sums of their lengths give starts in code points.
@@ -43,15 +46,16 @@ JOINT = "\ue000"
 CARD = rf"[0-9][0-9{JOINT}]+"
 WORD = r"[\p{L}][\p{L}\p{M}'’-]{2,}"
 
-SIDE = 60
-MIN_CONTEXTS = 5
+MIN_TEXTS = 2
 MIN_BITS = 4.0
 REMOVE = 0.5
 GENERALISE = 0.25
 
 
-def located(text: Column, pattern: str) -> Column:
-    """``value, start, end`` of every match, leftmost and not overlapping."""
+def located(text: Column, pattern: str, keep=lambda value: value.isNotNull()) -> Column:
+    """``value, start, end`` of every match whose value ``keep`` takes, leftmost and
+    not overlapping.  Only these are gathered, so the time does not grow with the
+    square of the others."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.split(text, pattern, -1), matches,
                        lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("value")))
@@ -62,7 +66,7 @@ def located(text: Column, pattern: str) -> Column:
         end = start + F.coalesce(F.length(pair["value"]), F.lit(0))
         here = F.struct(pair["value"].alias("value"), start.alias("start"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(
-            pair["value"].isNotNull(), F.concat(acc["out"], F.array(here))).otherwise(acc["out"])
+            keep(pair["value"]), F.concat(acc["out"], F.array(here))).otherwise(acc["out"])
             .alias("out"))
 
     return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step,
@@ -114,57 +118,63 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _beside(text: Column, span: Column) -> Column:
-    """The lower-case terms close to a span: whole words within ``SIDE`` characters."""
-    low = F.greatest(span["start"] - SIDE, F.lit(0))
-    left = F.regexp_replace(F.substring(text, low + 1, span["start"] - low), r"^\S*\s", "")
-    right = F.regexp_replace(F.substring(text, span["end"] + 1, F.lit(SIDE)), r"\s\S*$", "")
-    return F.lower(F.concat_ws("\n", left, right))
+def _terms(text: Column) -> Column:
+    """The distinct lower-case terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
 def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, row, spans, beside`` per row; ``row`` is a hash of the text, ``beside`` the
-    text next to each span.  No text leaves the scan but these pieces."""
+    """``id, row, spans, terms`` per row; ``row`` is a hash of the text, ``terms`` are the
+    terms outside of the spans, null where there is no span."""
     text = body(text_col)
     found = (docs.select(F.col(id_col).alias("id"), text.alias("text"))
              .select("id", "text", F.xxhash64("text").alias("row"), base_spans(F.col("text")).alias("spans")))
-    return found.select("id", "row", "spans", F.transform(
-        "spans", lambda s: _beside(F.col("text"), s)).alias("beside"))
+    outside = _filled(F.col("text"), F.col("spans"), lambda s: F.lit("\n"))
+    return found.select("id", "row", "spans",
+                        F.when(F.size("spans") > 0, _terms(outside)).alias("terms"))
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str,
-                     min_contexts: int = MIN_CONTEXTS, min_bits: float = MIN_BITS,
+                     min_texts: int = MIN_TEXTS, min_bits: float = MIN_BITS,
                      generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
-    """``term, kind`` of the terms over the thresholds; None if no term comes near an
-    entity often enough to be estimated."""
-    pairs = (found.where(F.size("spans") > 0)
-             .select("row", F.explode(F.arrays_zip("spans", "beside")).alias("z"))
-             .select("row", F.concat_ws(":", "z.spans.kind", "z.spans.value").alias("entity"),
-                     F.xxhash64("z.beside").alias("context"),
-                     F.explode(F.array_distinct(F.regexp_extract_all(
-                         "z.beside", F.lit(WORD), F.lit(0)))).alias("term")))
+    """``term, kind`` of the terms over the thresholds; None if no entity occurs often
+    enough to be estimated."""
+    names = F.array_distinct(F.transform(
+        "spans", lambda s: F.concat_ws(":", s["kind"], s["value"])))
+    held = written(found.where(F.size("spans") > 0).select("row", names.alias("entities"), "terms")
+                   .dropDuplicates(["row"]), "pii-texts")
+    total = found.select("row").distinct().agg(F.count(F.lit(1)).alias("texts"))
+    named = held.select("row", F.explode("entities").alias("entity"))
+    # No term tells more about an entity than one that only its texts hold.
     often = written(
-        pairs.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"),
-                                            F.countDistinct("row").alias("together"))
-        .where(F.col("contexts") >= min_contexts), "pii-pairs")
+        named.groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+        .where(F.col("with_entity") >= min_texts)
+        .join(F.broadcast(total))  # one row
+        .where(F.log2(F.col("texts") / F.col("with_entity")) >= min_bits), "pii-entities")
     if often.isEmpty():
         return None
+    kept = named.join(often, "entity")
+    listed = (held.select("row", "terms").join(
+        kept.groupBy("row").agg(F.max("with_entity").alias("most")), "row")
+        .select("row", "most", F.explode("terms").alias("term")))
+    candidates = (listed.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.max("most").alias("most"))
+                  .where(F.col("n") >= min_texts).select("term", "most"))
+    # A term's texts: each text's own terms once, copies once.
     text = body(text_col)
-    texts = docs.select(text.alias("text"), F.xxhash64(text).alias("row"))
-    terms = often.select("term").distinct()
-    # A term's texts: each text's own terms once, only candidates, copies once.
-    per_term = (texts.select("row", F.explode(F.array_distinct(F.regexp_extract_all(
-                    F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-                .join(terms, "term").distinct()
-                .groupBy("term").agg(F.count(F.lit(1)).alias("with_term")))
-    per_entity = (pairs.select("entity", "row").distinct()
-                  .groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")))
-    total = texts.select("row").distinct().agg(F.count(F.lit(1)).alias("texts"))
+    per_term = (docs.select(F.xxhash64(text).alias("row"), _terms(text).alias("terms"))
+                .dropDuplicates(["row"]).select(F.explode("terms").alias("term"))
+                .groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+                .where(F.col("with_term") >= min_texts))
+    rare = written(candidates.join(per_term, "term")
+                   .where(F.col("with_term") * generalise <= F.col("most"))
+                   .select("term", "with_term"), "pii-candidates")
     chance = F.col("together") / F.col("with_term")
     bits = F.log2(chance * F.col("texts") / F.col("with_entity"))
-    judged = (often.join(per_term, "term").join(per_entity, "entity")
-              .join(F.broadcast(total))  # one row
-              .where((chance >= generalise) & (bits >= min_bits))
+    judged = (listed.select("row", "term").join(rare, "term").join(kept, "row")
+              .where(F.col("with_term") * generalise <= F.col("with_entity"))
+              .groupBy("entity", "term", "with_entity", "with_term", "texts")
+              .agg(F.count(F.lit(1)).alias("together"))
+              .where((F.col("together") >= min_texts) & (chance >= generalise) & (bits >= min_bits))
               .groupBy("term").agg(F.max(chance).alias("chance")))
     return judged.select("term", F.when(F.col("chance") >= remove, "term")
                          .otherwise("general").alias("kind"))
@@ -174,17 +184,17 @@ def term_spans(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame) ->
     """``id, row, terms``: the places of disclosing terms, for the texts that have any."""
     text = body(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("row"))
-    listed = (rows.select("id", "row", F.explode(F.array_distinct(F.regexp_extract_all(
-                  F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    listed = (rows.select("id", "row", F.explode(_terms(F.col("text"))).alias("term"))
               .join(terms, "term").distinct()
               .groupBy("id", "row").agg(F.map_from_entries(F.collect_set(
                   F.struct("term", "kind"))).alias("kinds")))
     # ``rows`` repeat if a row does; distinct (id, row) have one text.
-    places = rows.dropDuplicates(["id", "row"]).join(
+    places = rows.join(
         listed.withColumnsRenamed({"id": "lid", "row": "lrow"}),
-        F.col("id").eqNullSafe(F.col("lid")) & (F.col("row") == F.col("lrow")))
-    marked = F.filter(located(F.col("text"), WORD),
-                      lambda s: F.map_contains_key(F.col("kinds"), F.lower(s["value"])))
+        F.col("id").eqNullSafe(F.col("lid")) & (F.col("row") == F.col("lrow"))
+    ).dropDuplicates(["id", "row"])
+    marked = located(F.col("text"), WORD, lambda value: value.isNotNull()
+                     & F.map_contains_key(F.col("kinds"), F.lower(value)))
     return places.select("id", "row", F.transform(marked, lambda s: let(
         F.element_at(F.col("kinds"), F.lower(s["value"])), lambda kind: F.struct(
             s["start"].alias("start"),
@@ -205,7 +215,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thre
         "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     both = F.when(F.col("terms").isNull(), F.col("spans")).otherwise(
         F.array_sort(F.concat("spans", free)))
-    return (found.join(places, F.col("id").eqNullSafe(F.col("tid")) & (F.col("row") == F.col("trow")),
+    return (found.drop("terms").join(places, F.col("id").eqNullSafe(F.col("tid")) & (F.col("row") == F.col("trow")),
                        "left")
             .select(F.col("id").alias(id_col), "row", base, both.alias("spans")))
 
@@ -220,14 +230,11 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def replaced(text: Column, spans: Column) -> Column:
-    """The text with entities and general terms replaced by their kind in brackets
-    and other disclosing terms removed; of overlapping spans the first counts."""
+def _filled(text: Column, spans: Column, mark) -> Column:
+    """The text with ``mark(span)`` in place of each span; of overlapping spans the
+    first counts."""
     def step(acc: Column, s: Column) -> Column:
-        mark = F.when(s["kind"] == "term", F.lit("")).when(
-            s["kind"] == "general", F.lit("[something]")).otherwise(
-            F.concat(F.lit("["), s["kind"], F.lit("]")))
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), mark)
+        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), mark(s))
         return F.when(s["start"] < acc["at"], F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
             F.struct(s["end"].alias("at"), piece.alias("out")))
@@ -237,6 +244,14 @@ def replaced(text: Column, spans: Column) -> Column:
                            text, acc["at"] + 1, F.length(text))))
 
 
+def replaced(text: Column, spans: Column) -> Column:
+    """The text with entities and general terms replaced by their kind in brackets
+    and other disclosing terms removed; of overlapping spans the first counts."""
+    return _filled(text, spans, lambda s: F.when(s["kind"] == "term", F.lit("")).when(
+        s["kind"] == "general", F.lit("[something]")).otherwise(
+        F.concat(F.lit("["), s["kind"], F.lit("]"))))
+
+
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              **thresholds) -> DataFrame:
     """``docs`` with sanitised texts; null texts stay null."""

@@ -1,7 +1,7 @@
 """Cases in which an operator did less than its whole job."""
 import pytest
 
-from obsengine.llm import html_extraction
+from obsengine.llm import html_extraction, pii
 
 WEIGHTS = html_extraction.learn({})
 
@@ -52,3 +52,23 @@ def test_boilerplate_stays_out(body):
 def test_long_boilerplate_inside_content_does_not_cut_it(opened, closed):
     body = f"<p>One two three</p><aside><p>{'advert words ' * 200}</p></aside><p>Four five</p><p>Six seven</p>"
     assert text_of(opened + body + closed) == "One two three\n\nFour five\n\nSix seven"
+
+
+# -- PII -----------------------------------------------------------------------
+
+def test_names_in_few_texts_disclose(spark):
+    """A name first or last in the text, or far from the address, seen in two texts each."""
+    far = "ordinary words walk along the river " * 4
+    rows = [(1, "Alicia a@x.org"), (2, "a@x.org river Alicia"), (3, "Alicia walks along the river"),
+            (4, f"Zebulon {far}b@x.org"), (5, f"b@x.org {far}and more {far}Zebulon"),
+            (6, f"Zebulon {far}b@x.org"),  # a copy counts once
+            (7, "Once c@x.org with Ottokar"), (8, "the x.org of Zebulon")]
+    rows += [(i, f"ordinary words walk along the river and more {i}") for i in range(10, 300)]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.spans] for r in pii.find(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == [("term", "Alicia"), ("email", "a@x.org")]
+    assert got[2] == [("email", "a@x.org"), ("term", "Alicia")]
+    assert got[3] == [("term", "Alicia")] and got[8] == [("term", "Zebulon")]
+    assert got[4] == got[6] == [("term", "Zebulon"), ("email", "b@x.org")]
+    assert got[5] == [("email", "b@x.org"), ("term", "Zebulon")]
+    assert got[7] == [("email", "c@x.org")] and got[10] == []
