@@ -356,6 +356,20 @@ def _verified(members: DataFrame, max_edits: int, run_limit: int | None) -> Data
             .mapInPandas(verify, "key long, line string, h long, c long"))
 
 
+def _block_pairs(members: DataFrame, run_limit: int) -> DataFrame:
+    """``members`` with keys under which any two of a key meet, though at most about
+    ``2 * run_limit`` share one: a key's members are dealt into blocks, and a block
+    goes to each of its pairs with another block."""
+    sizes = members.groupBy("key").agg(
+        F.ceil(F.count(F.lit(1)) / run_limit).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("h", "c", "line"), F.col("blocks"))
+    return (members.join(sizes, "key")
+            .withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("key", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+            .drop("blocks", "block", "other"))
+
+
 def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, run_limit: int = RUN_LIMIT) -> DataFrame:
     """``h, c`` of the lines of ``id, text`` that have an earlier near line."""
     shared = written(_shared_keys(_segment_keys(docs, max_edits)), "line-candidates")
@@ -365,7 +379,8 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, run_limit: int = RUN
     crowded = found.where("key IS NOT NULL").select("key", "h", "c", "line").distinct()
     if not crowded.isEmpty():
         again = crowded.join(lines.select("h", "c", "line", "first"), ["h", "c", "line"])
-        near = near.unionByName(_verified(again, max_edits, None).select("h", "c"))
+        near = near.unionByName(
+            _verified(_block_pairs(again, run_limit), max_edits, None).select("h", "c"))
     return near.distinct()
 
 

@@ -1,7 +1,10 @@
 """Cases in which an operator did less than its whole job."""
+from collections import defaultdict
+from itertools import combinations
+
 import pytest
 
-from obsengine.llm import html_extraction, pii
+from obsengine.llm import html_extraction, line_dedup, pii
 
 WEIGHTS = html_extraction.learn({})
 
@@ -72,3 +75,24 @@ def test_names_in_few_texts_disclose(spark):
     assert got[4] == got[6] == [("term", "Zebulon"), ("email", "b@x.org")]
     assert got[5] == [("email", "b@x.org"), ("term", "Zebulon")]
     assert got[7] == [("email", "c@x.org")] and got[10] == []
+
+
+# -- line dedup ----------------------------------------------------------------
+
+def test_crowded_keys_are_compared_in_blocks(spark):
+    rows = [(7, n, n, f"line {n}", (n, 0)) for n in range(300)] + [(8, 1, 1, "line 1", (1, 0)), (8, 2, 2, "line 2", (2, 0))]
+    members = spark.createDataFrame(rows, "key long, h long, c long, line string, first struct<id:long,pos:int>")
+    met = defaultdict(set)
+    for r in line_dedup._block_pairs(members, 20).collect():
+        met[r.key].add(r.h)
+    assert max(map(len, met.values())) <= 4 * 20 and any(hs == {1, 2} for hs in met.values())
+    pairs = {p for hs in met.values() for p in combinations(sorted(hs), 2)}
+    assert len(pairs) == 300 * 299 // 2
+
+
+def test_template_lines_with_a_number(spark):
+    lines = [f"the template line of a log that counts up to {n * 7919 % 1000003:06d} and ends" for n in range(120)]
+    want = {y for n, y in enumerate(lines) if any(line_dedup.within(x, y, 2) for x in lines[:n])}
+    docs = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
+    got = {(r.h, r.c) for r in line_dedup.near_lines(docs, run_limit=8).collect()}
+    assert got == {line_dedup.line_key(y) for y in want} and 0 < len(want) < len(lines)
