@@ -18,7 +18,8 @@ on the digest are plain sort-merge joins that adaptive execution splits.
 Defined cases: a null text counts as empty; a null id never wins over an id,
 and is not kept if its group has an id; rows that repeat an id with the same
 text are one document and marked alike; an empty table gives no rows; other
-columns are not read.
+columns are not read; a file older than those read before counts, and a text that is
+missing from the state, as of a file changed in place, fails the query.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ STATE_CONF = {
 }
 
 
+#: A hundred years.
+MAX_FILE_AGE = "36500d"
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -54,7 +59,9 @@ def digest_state(spark: SparkSession, path: str, id_col: str, text_col: str,
     """Drain the folder through the stateful query; the newest state per digest."""
     schema = spark.read.parquet(path).select(id_col, text_col).schema
     # A pattern that fits the path alone: a stream reads a folder or, by pattern, one file.
-    stream = spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    # However old a file is beside the newest one, it counts: the state does not expire either.
+    stream = (spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
+              .parquet(f"{path[:-1]}[{path[-1]}]"))
     keyed = (stream.select(F.col(id_col).alias("id"), digest(body(text_col)).alias("digest"),
                            F.col("_metadata.file_path").alias("locator"))
              .groupBy("digest")
@@ -106,10 +113,13 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
 
     plain = state.select("digest", F.col("keeper.id").alias("keep_id"),
                          F.col("n").alias("group_size"))
+    # A text that the stream has not read (a file changed in place) fails the query.
+    missing = F.raise_error(F.lit("a text of the folder is missing from the state")).cast("long")
+    known = (docs.select("id", "digest").join(plain, "digest", "left")
+             .withColumn("group_size", F.coalesce("group_size", missing)))
     if clashes.isEmpty():
-        return result(docs.select("id", "digest").join(plain, "digest"))
-    clear = plain.join(clashes, "digest", "left_anti")
+        return result(known)
     mixed = docs.join(clashes.select("digest"), "digest").select(
         "id", "digest", F.sha2(F.concat(F.lit("\x01"), "text"), 512).alias("text_key"))
-    return result(docs.select("id", "digest").join(clear, "digest")).unionByName(
+    return result(known.join(clashes, "digest", "left_anti")).unionByName(
         result(mixed.join(classes, ["digest", "text_key"])))

@@ -1,10 +1,12 @@
 """Cases in which an operator did less than its whole job."""
+import os
+import time
 from collections import defaultdict
 from itertools import combinations
 
 import pytest
 
-from obsengine.llm import html_extraction, line_dedup, pii
+from obsengine.llm import exact_dedup, html_extraction, line_dedup, pii
 
 WEIGHTS = html_extraction.learn({})
 
@@ -96,3 +98,26 @@ def test_template_lines_with_a_number(spark):
     docs = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
     got = {(r.h, r.c) for r in line_dedup.near_lines(docs, run_limit=8).collect()}
     assert got == {line_dedup.line_key(y) for y in want} and 0 < len(want) < len(lines)
+
+
+# -- exact dedup ---------------------------------------------------------------
+
+def test_old_files_count_and_missing_texts_fail(spark, tmp_path):
+    folder, checkpoint = tmp_path / "documents.parquet", str(tmp_path / "state")
+    folder.mkdir()
+
+    def put(name, rows, days):
+        spark.createDataFrame(rows, "doc_id long, text string").toPandas().to_parquet(folder / name)
+        os.utime(folder / name, (time.time() - days * 86400,) * 2)
+
+    def run():
+        return {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(
+            spark, str(folder), checkpoint=checkpoint).collect()}
+
+    put("a.parquet", [(1, "one"), (2, "two")], 0)
+    assert run() == {1: (1, 1), 2: (2, 1)}
+    put("b.parquet", [(3, "two"), (4, "three")], 30)
+    assert run() == {1: (1, 1), 2: (3, 2), 3: (3, 2), 4: (4, 1)}
+    put("a.parquet", [(1, "changed in place")], 0)
+    with pytest.raises(Exception, match="missing from the state"):
+        run()
