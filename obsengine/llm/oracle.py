@@ -153,9 +153,61 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+#: Unsigned CRC-32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split({0}, ''), lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+_OP11 = f"""
+WITH given AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+heads AS (
+  SELECT *, {_CRC32.format("conv_id::VARCHAR")} % 9 AS h FROM given),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(list_slice(coalesce(s.turns, []), 1, c.h), list_slice(c.turns, c.h + 1, len(c.turns)))
+         AS turns
+  FROM heads c LEFT JOIN given s ON s.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (
+  SELECT conv_id, d, list_slice(turns, 1, d) AS node, len(turns) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN d > 0 THEN (count(*) - 1) * strlen(node[d].text) ELSE 0 END AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, d),
+kids AS (
+  SELECT list_slice(node, 1, d - 1) AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.node = n.node),
+upward AS (
+  SELECT list_slice(node, 1, unnest(range(0, d + 1))) AS node, saved, (n_children = 0)::INT AS leaf FROM counted),
+sums AS (
+  SELECT node, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM upward GROUP BY 1)
+SELECT c.conv_id, c.d::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens,
+       c.ends_sha256
+FROM counted c JOIN sums s ON s.node = c.node
+LEFT JOIN nodes p ON c.d > 0 AND p.d = c.d - 1 AND p.node = list_slice(c.node, 1, c.d - 1)
+"""
+
+_OP13 = """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM scaled q JOIN scaled c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 ORACLE = {
     "op2_url_filters": _OP2,
     "op3_quality_rules": _OP3,
     "op5_source_mixing": _OP5,
     "op8_exact_dedup": _OP8,
+    "op11_prefix_trie": _OP11,
+    "op13_exact_topk": _OP13,
 }

@@ -10,15 +10,18 @@ from obsengine.llm import (
     exact_dedup,
     html_extraction,
     line_dedup,
+    periodic_runs,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sentencepiece,
     simhash,
     source_mixing,
+    topk_search,
     url_filters,
 )
-from obsengine.llm.common import table
+from obsengine.llm.common import body, let, table, words
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +81,54 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv_id = F.col("conv_id")
+    return prefix_trie.trie(*prefix_trie.rebuilt(
+        table(spark, sf_dir, "conversations"), source=conv_id - conv_id % 5,
+        head=(F.crc32(conv_id.cast("string").cast("binary")) % 9).cast("int")))
+
+
+def looped(doc_id, text):
+    """The text of the periodic-run contract: with h the CRC-32 of the decimal id and
+    h % 10 = 0, the words from a = g % n on repeat the first p of them (g = h div 10)."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(w):
+        n = F.size(w).cast("long")
+        return let(g % n, lambda a: let(1 + F.floor((n - a) / (3 + g % 8)), lambda p: F.concat_ws(" ", F.transform(
+            F.sequence(F.lit(0).cast("long"), n - 1),
+            lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))))))
+
+    return F.when((h % 10 == 0) & (body(text) != ""), let(words(text), lambda w: F.when(F.size(w) > 0, tail(w)).otherwise(
+        F.lit("")))).otherwise(body(text))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", looped(F.col("doc_id"), F.col("text")).alias("text"))
+    longest = F.array_sort("runs", lambda a, b: F.when(a.length != b.length, b.length - a.length)
+                           .when(a.start != b.start, a.start - b.start).otherwise(a.period - b.period).cast("int"))
+    found = periodic_runs.detect(docs).withColumn("top", F.get(longest, F.lit(0)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256)
+        .alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    finite = ~F.exists("embedding", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+    return topk_search.top_k(rows.where(finite).select("vec_id", scaled.alias("vector")),
+                             F.col("vec_id") % 50 == 0)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_url_filters, op3_quality_rules, op4_line_dedup,
     op5_source_mixing, op6_quality_classifier, op7_pii_sanitise, op8_exact_dedup,
-    op9_sentencepiece, op10_html_extraction)}
+    op9_sentencepiece, op10_html_extraction, op11_prefix_trie, op12_periodic_runs, op13_exact_topk)}
 REGISTRY["pipeline"] = corpus_pipeline.run
