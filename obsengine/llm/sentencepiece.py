@@ -1,16 +1,25 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie.
 
-The model file gives pieces with log scores; nothing is trained.  Pieces live in
-a double-array trie over UTF-8 bytes, built once on the driver from the model (its
-size is set by the vocabulary) and sent to the tasks.  The best segmentation is
-the path of largest score sum; a character that no piece covers costs the lowest
-score less a penalty and becomes its byte pieces (or the unknown piece).
+The model file gives the pieces; nothing is trained.  Pieces live in a double-array
+trie over UTF-8 bytes, built once on the driver from the model (its size is set by the
+vocabulary) and sent to the tasks.  The best segmentation is the path of largest
+score sum; a character that no piece covers costs the lowest score less a penalty and
+becomes its byte pieces (or the unknown piece).
+
+Scores are log probabilities.  A unigram model states them; a model of merge ranks
+states only the order of its pieces, so ``log_scores`` gives the piece of rank r the
+probability that Zipf's law has for it, 1 / (r * H) with H the sum of 1 / r, its logarithm
+rounded to 1/64, which keeps sums exact in single precision and ties true ties.  Other
+kinds of model are refused.
 
 Spaces become the whitespace marker, a marker is put in front, and decoding turns
 markers back into spaces and byte pieces into bytes.  If no piece holds a marker
 behind another character, the best path never crosses the start of a word, so words
-are solved apart and remembered (a bounded memory per task); otherwise the text is
-solved as a whole.
+are solved apart and remembered (``MEMORY_BYTES`` a task); otherwise the text is solved as
+a whole.
+
+Texts are encoded one at a time and leave in batches of about ``FLUSH`` tokens, so a
+task holds one text and one batch of tokens besides Spark's input batch.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text;
 white space is kept as it is; a text with the marker character itself decodes to
@@ -23,11 +32,11 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +45,10 @@ from obsengine.llm.common import body
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words a task remembers, and the longest it remembers.
-MEMORY, MEMORY_CHARS = 300_000, 64
+#: What a task's remembered words may take, the longest it remembers, tokens in a batch.
+MEMORY_BYTES, MEMORY_CHARS, FLUSH = 48 << 20, 64, 1 << 18
+#: Kinds of model in the model format.
+UNIGRAM_MODEL, RANK_MODEL = 1, 2
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -72,7 +83,7 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 def read_model(data: bytes) -> dict:
     """Pieces, scores, types and the settings that encoding needs."""
     pieces, scores, types = [], [], []
-    settings = {"byte_fallback": False, "add_dummy_prefix": True, "remove_extra_whitespaces": True}
+    settings = {"kind": UNIGRAM_MODEL, "byte_fallback": False, "add_dummy_prefix": True, "remove_extra_whitespaces": True}
     for field, value in _fields(data):
         if field == 1:
             piece = dict(_fields(value))
@@ -80,7 +91,9 @@ def read_model(data: bytes) -> dict:
             scores.append(struct.unpack("<f", piece[2])[0] if 2 in piece else 0.0)
             types.append(piece.get(3, NORMAL))
         elif field == 2:
-            settings["byte_fallback"] = bool(dict(_fields(value)).get(35, 0))
+            trainer = dict(_fields(value))
+            settings["kind"] = trainer.get(3, UNIGRAM_MODEL)
+            settings["byte_fallback"] = bool(trainer.get(35, 0))
         elif field == 3:
             normal = dict(_fields(value))
             settings["add_dummy_prefix"] = bool(normal.get(3, 1))
@@ -90,6 +103,22 @@ def read_model(data: bytes) -> dict:
     return {"pieces": pieces, "scores": scores, "types": types, **settings}
 
 
+def log_scores(model: dict) -> dict:
+    """The model with log probabilities as scores."""
+    if model["kind"] == UNIGRAM_MODEL:
+        return model
+    if model["kind"] != RANK_MODEL:
+        raise ValueError("neither log scores nor merge ranks in this kind of model")
+    normal = [i for i, kind in enumerate(model["types"]) if kind == NORMAL]
+    normal.sort(key=lambda i: -model["scores"][i])  # stable: equal scores keep their order
+    rank = np.arange(1, len(normal) + 1)
+    logs = (np.round(64 * (-np.log(rank) - np.log((1 / rank).sum()))) / 64).tolist()
+    scores = list(model["scores"])
+    for i, score in zip(normal, logs, strict=True):
+        scores[i] = score
+    return {**model, "scores": scores, "kind": UNIGRAM_MODEL}
+
+
 def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``base, check, value`` of a trie: the child of node s over byte c is
     ``base[s] + c + 1`` if ``check`` there is s; ``value`` is a key's number or -1."""
@@ -166,7 +195,13 @@ class Tokenizer:
         self.fallback = model["byte_fallback"] and len(self.bytes) == 256
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.words = None if model["crosses"] else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        # words met lately and before; the older half goes when the newer one is full
         self.memory: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.memory_bytes = 0
+        # what a piece reads as; None where bytes or marks need more than that
+        self.plain = [p if t in (NORMAL, USER_DEFINED, UNUSED) else None
+                      for p, t in zip(self.pieces, self.types, strict=True)]
 
     def best_path(self, text: str) -> tuple[int, ...]:
         """Piece numbers of the best segmentation of one word or text."""
@@ -214,26 +249,44 @@ class Tokenizer:
     def of_word(self, word: str) -> tuple[int, ...]:
         known = self.memory.get(word)
         if known is None:
-            known = self.best_path(word)
+            known = self.older.get(word) or self.best_path(word)
             if len(word) <= MEMORY_CHARS:
-                if len(self.memory) >= MEMORY:
-                    self.memory.clear()
+                if self.memory_bytes > MEMORY_BYTES // 2:
+                    self.older, self.memory, self.memory_bytes = self.memory, {}, 0
                 self.memory[word] = known
+                self.memory_bytes += 200 + 2 * len(word) + 8 * len(known)
         return known
 
-    def encode(self, text: str | None) -> np.ndarray:
+    def encode_into(self, text: str | None, ids: array) -> None:
+        """Append the tokens of the text to ``ids``."""
         text = text or ""
         if self.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
         if not text:
-            return np.empty(0, np.int32)
+            return
         marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
         if self.words is None:
-            return np.array(self.best_path(marked), np.int32)
-        found = self.words.findall(marked)
-        return np.fromiter(chain.from_iterable(map(self.of_word, found)), np.int32)
+            ids.extend(self.best_path(marked))
+            return
+        known, of_word = self.memory.get, self.of_word
+        for found in self.words.finditer(marked):
+            word = found[0]
+            ids.extend(known(word) or of_word(word))
+
+    def encode(self, text: str | None) -> np.ndarray:
+        ids = array("i")
+        self.encode_into(text, ids)
+        return np.array(ids, np.int32)
 
     def decode(self, ids) -> str:
+        out = list(map(self.plain.__getitem__, ids))
+        if None in out:
+            out = self._spelled(ids)
+        text = "".join(out).replace(MARK, " ")
+        return text[1:] if self.prefix and text.startswith(" ") else text
+
+    def _spelled(self, ids) -> list[str]:
+        """The pieces with bytes joined to characters, without control pieces."""
         out, held = [], bytearray()
         for i in ids:
             byte = self.byte_of.get(i)
@@ -250,8 +303,7 @@ class Tokenizer:
                 out.append(self.pieces[i])
         if held:
             out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return out
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id",
@@ -259,17 +311,28 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, id_col: str = "do
     """``id_col, n_tokens, ids, round_trip`` per document: the tokens of the whole
     text, and whether decoding them gives the text back."""
     with open(model_path, "rb") as f:
-        model = build(read_model(f.read()))
+        model = build(log_scores(read_model(f.read())))
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    id_type = docs.schema[id_col].dataType.simpleString()
 
-    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(sent.value)
-        for texts in batches:
-            ids = [tokenizer.encode(t) for t in texts]
-            yield pd.DataFrame({
-                "n_tokens": np.array([len(x) for x in ids], np.int64), "ids": ids,
-                "round_trip": [tokenizer.decode(x.tolist()) == t
-                               for x, t in zip(ids, texts, strict=True)]})
-
-    return docs.select(F.col(id_col), tokens(body(text_col)).alias("t")).select(id_col, "t.*")
+        for batch in batches:
+            texts, first = batch.column(1), 0
+            ids, ends, same = array("i"), array("i", [0]), []
+            for at in range(len(texts)):
+                text = texts[at].as_py()
+                tokenizer.encode_into(text, ids)
+                same.append(tokenizer.decode(ids[ends[-1]:]) == text)
+                ends.append(len(ids))
+                if len(ids) >= FLUSH or at == len(texts) - 1:
+                    flat = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids.tobytes())])
+                    stops = np.array(ends, np.int32)
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(first, len(same)), pa.array(np.diff(stops).astype(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(stops), flat), pa.array(same, pa.bool_()),
+                    ], names=[id_col, "n_tokens", "ids", "round_trip"])
+                    first, ids, ends, same = at + 1, array("i"), array("i", [0]), []
+
+    return docs.select(F.col(id_col), body(text_col).alias("text")).mapInArrow(
+        tokens, f"`{id_col}` {id_type}, n_tokens bigint, ids array<int>, round_trip boolean")

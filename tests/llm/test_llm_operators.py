@@ -345,6 +345,55 @@ def test_documents_round_trip(spark):
     assert all(r.round_trip for r in got.values()) and got[1].n_tokens == len(got[1].ids) > 0 == got[2].n_tokens
 
 
+def with_scores(raw, scores):
+    """The model file as a unigram model with other scores."""
+    raw, at = bytearray(raw), 0
+    for score in scores:
+        size, shift, start = 0, 0, at + 1
+        while True:
+            size |= (raw[start] & 127) << shift
+            shift += 7
+            start += 1
+            if raw[start - 1] < 128:
+                break
+        name = raw[start + 1]
+        raw[start + 2 + name + 1:start + 2 + name + 5] = np.float32(score).tobytes()
+        at = start + size
+    kind = raw.rindex(b"\x18\x02 \x80\xfa\x01")
+    return bytes(raw[:kind] + b"\x18\x01" + raw[kind + 2:])
+
+
+def test_registered_model_equals_the_library(spark):
+    with open(sentencepiece.MODEL, "rb") as f:
+        raw = f.read()
+    model = sentencepiece.log_scores(sentencepiece.read_model(raw))
+    assert max(model["scores"][i] for i, t in enumerate(model["types"]) if t == sentencepiece.NORMAL) < 0
+    other = library.SentencePieceProcessor(model_proto=with_scores(raw, model["scores"]))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in sentencepiece.encode_documents(docs).collect()}
+    for doc_id, text in docs.collect():
+        assert got[doc_id].ids == other.encode(text) and got[doc_id].round_trip
+        assert other.decode(got[doc_id].ids) == text
+    assert sentencepiece.Tokenizer(sentencepiece.build(model)).encode("The quick").tolist() == [
+        model["pieces"].index("▁The"), model["pieces"].index("▁quick")]
+
+
+def test_tokens_of_hard_rows(spark):
+    rows = [(1, "x" * 200_000), (2, None), (None, "a b"), (1, "é " * 1000), (3, "\u2581")] + [(9, "same")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit(0) for c in ("ids", "n_tokens", "round_trip")})
+    got = sentencepiece.encode_documents(docs).collect()
+    assert len(got) == len(rows) and all(r.n_tokens == len(r.ids) for r in got)
+    assert [r.doc_id for r in got if not r.round_trip] == [3]
+    assert len({tuple(r.ids) for r in got if r.doc_id == 9}) == 1
+    assert sentencepiece.encode_documents(docs.limit(0)).collect() == []
+
+
+def test_other_kinds_of_model_are_refused():
+    with pytest.raises(ValueError):
+        sentencepiece.log_scores({"kind": 3, "types": [], "scores": []})
+
+
 # -- HTML ----------------------------------------------------------------------
 
 def test_extraction(spark):
