@@ -18,8 +18,10 @@ behind another character, the best path never crosses the start of a word, so wo
 are solved apart and remembered (``MEMORY_BYTES`` a task); otherwise the text is solved as
 a whole.
 
-Texts are encoded one at a time and leave in batches of about ``FLUSH`` tokens, so a
-task holds one text and one batch of tokens besides Spark's input batch.
+The new words of about ``CHUNK_CHARS`` of text are solved together, position by position
+over arrays; longer texts and words go through one by one.  Tokens leave with the
+chunk that they come from, so a task holds one chunk, or one text, and its tokens besides
+Spark's input batch.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text;
 white space is kept as it is; a text with the marker character itself decodes to
@@ -34,6 +36,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +48,10 @@ from obsengine.llm.common import body
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: What a task's remembered words may take, the longest it remembers, tokens in a batch.
-MEMORY_BYTES, MEMORY_CHARS, FLUSH = 48 << 20, 64, 1 << 18
+LOWEST = float("-inf")
+#: What a task's remembered words may take, the longest it remembers (in bytes), and how
+#: much text is encoded together.
+MEMORY_BYTES, MEMORY_WIDTH, CHUNK_CHARS = 96 << 20, 64, 1 << 20
 #: Kinds of model in the model format.
 UNIGRAM_MODEL, RANK_MODEL = 1, 2
 #: Piece types of the model format.
@@ -186,7 +191,12 @@ class Tokenizer:
 
     def __init__(self, model: dict) -> None:
         self.base, self.check, self.value = (model[k].tolist() for k in ("base", "check", "value"))
-        self.scores, self.pieces, self.types = model["scores"], model["pieces"], model["types"]
+        self.pieces, self.types = model["pieces"], model["types"]
+        # a node's child over byte c stands at base + c; the score of the piece that ends there
+        self.base = [b + 1 for b in self.base]
+        self.gain = [model["scores"][v] if v >= 0 else None for v in self.value]
+        self.tables = [model[k] for k in ("base", "check", "value")] + [np.array(model["scores"], np.float64)]
+        self.longest = max((len(p.encode()) for p in self.pieces), default=1)
         self.unknown_score, self.prefix = model["unknown_score"], model["add_dummy_prefix"]
         self.squeeze = model["remove_extra_whitespaces"]
         self.unknown = self.types.index(UNKNOWN)
@@ -206,34 +216,35 @@ class Tokenizer:
     def best_path(self, text: str) -> tuple[int, ...]:
         """Piece numbers of the best segmentation of one word or text."""
         data = text.encode("utf-8", "replace")
-        base, check, value, scores = self.base, self.check, self.value, self.scores
+        base, check, gain, value = self.base, self.check, self.gain, self.value
         n = len(data)
-        total = [None] * (n + 1)
+        total = [LOWEST] * (n + 1)
         came: list[tuple[int, int]] = [(0, 0)] * (n + 1)
         total[0] = 0.0
         at = 0
         while at < n:
             lead = data[at]
-            width = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+            whole = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
             here, single = total[at], False
             node, end = 0, at
-            while end < n:
-                after = base[node] + data[end] + 1
+            for code in data[at:at + self.longest]:
+                after = base[node] + code
                 if check[after] != node:
                     break
                 node = after
                 end += 1
-                piece = value[node]
-                if piece >= 0:
-                    score = here + scores[piece]
-                    if total[end] is None or score > total[end]:
-                        total[end], came[end] = score, (at, piece)
-                    single = single or end == at + width
+                score = gain[node]
+                if score is not None:
+                    score += here
+                    if score > total[end]:
+                        total[end], came[end] = score, (at, value[node])
+                    if end == whole:
+                        single = True
             if not single:
-                score, end = here + self.unknown_score, at + width
-                if total[end] is None or score > total[end]:
-                    total[end], came[end] = score, (at, -1)
-            at += width
+                score = here + self.unknown_score
+                if score > total[whole]:
+                    total[whole], came[whole] = score, (at, -1)
+            at = whole
         path, end = [], n
         while end:
             start, piece = came[end]
@@ -246,32 +257,117 @@ class Tokenizer:
             end = start
         return tuple(reversed(path))
 
+    def best_paths(self, words: list[str]) -> list[tuple[int, ...]]:
+        """``best_path`` of many short words at once: every step is taken by all of them."""
+        base, check, value, scores = self.tables
+        coded = [w.encode("utf-8", "replace") for w in words]
+        size = np.array([len(c) for c in coded])
+        width = int(size.max(initial=0))
+        data = np.frombuffer(b"".join(c.ljust(width, b"\0") for c in coded), np.uint8).reshape(len(words), width)
+        total = np.full((len(words), width + 1), LOWEST)
+        start = np.zeros((len(words), width + 1), np.int32)
+        piece = np.full((len(words), width + 1), -1, np.int32)
+        total[:, 0] = 0.0
+        for at in range(width):
+            lead = data[:, at]
+            rows = np.flatnonzero((size > at) & ((lead & 0xC0) != 0x80))
+            lead = lead[rows]
+            whole = at + 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+            single = np.zeros(len(rows), bool)
+            live, node = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+            for end in range(at, min(width, at + self.longest)):
+                inside = size[rows[live]] > end
+                live, node = live[inside], node[inside]
+                after = base[node] + data[rows[live], end] + 1
+                found = check[after] == node
+                live, node = live[found], after[found]
+                if not len(live):
+                    break
+                number = value[node]
+                here = number >= 0
+                single[live[here & (whole[live] == end + 1)]] = True
+                self._reach(total, start, piece, rows[live[here]], at, end + 1, scores[number[here]], number[here])
+            for end in np.unique(whole[~single]):
+                lost = rows[~single & (whole == end)]
+                self._reach(total, start, piece, lost, at, end, self.unknown_score, -1)
+        # back from the ends; words with a character of no piece are spelled one by one
+        at, back, odd = size.copy(), [], np.zeros(len(words), bool)
+        every = np.arange(len(words))
+        while at.any():
+            step = np.where(at > 0, piece[every, at], -2)
+            odd |= step == -1
+            back.append(step)
+            at = np.where(at > 0, start[every, at], 0)
+        paths = np.stack(back[::-1], 1).tolist() if back else [[] for _ in words]
+        return [self.best_path(w) if o else tuple(x for x in path if x != -2)
+                for w, o, path in zip(words, odd.tolist(), paths, strict=True)]
+
+    @staticmethod
+    def _reach(total, start, piece, rows, at, end, score, number) -> None:
+        """Note a better way of the given rows to ``end`` from ``at``."""
+        score = total[rows, at] + score
+        better = score > total[rows, end]
+        rows = rows[better]
+        total[rows, end], start[rows, end] = score[better], at
+        piece[rows, end] = number[better] if isinstance(number, np.ndarray) else number
+
+    def remember(self, word: str, path: tuple[int, ...]) -> None:
+        if self.memory_bytes > MEMORY_BYTES // 2:
+            self.older, self.memory, self.memory_bytes = self.memory, {}, 0
+        self.memory[word] = path
+        self.memory_bytes += 200 + 2 * len(word) + 8 * len(path)
+
     def of_word(self, word: str) -> tuple[int, ...]:
         known = self.memory.get(word)
         if known is None:
             known = self.older.get(word) or self.best_path(word)
-            if len(word) <= MEMORY_CHARS:
-                if self.memory_bytes > MEMORY_BYTES // 2:
-                    self.older, self.memory, self.memory_bytes = self.memory, {}, 0
-                self.memory[word] = known
-                self.memory_bytes += 200 + 2 * len(word) + 8 * len(known)
+            if len(word) <= MEMORY_WIDTH:
+                self.remember(word, known)
         return known
 
-    def encode_into(self, text: str | None, ids: array) -> None:
-        """Append the tokens of the text to ``ids``."""
+    def marked(self, text: str | None) -> str:
         text = text or ""
         if self.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
-        if not text:
-            return
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
+        return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
+
+    def encode_into(self, text: str | None, ids: array) -> None:
+        """Append the tokens of the text to ``ids``."""
+        marked = self.marked(text)
         if self.words is None:
             ids.extend(self.best_path(marked))
             return
-        known, of_word = self.memory.get, self.of_word
         for found in self.words.finditer(marked):
-            word = found[0]
-            ids.extend(known(word) or of_word(word))
+            ids.extend(self.of_word(found[0]))
+
+    def encode_many(self, texts: list[str | None]) -> tuple[array, list[int]]:
+        """Tokens of all texts, and where each text's tokens end."""
+        ids, ends = array("i"), []
+        if self.words is None or sum(len(t or "") for t in texts) > 2 * CHUNK_CHARS:
+            for text in texts:
+                self.encode_into(text, ids)
+                ends.append(len(ids))
+            return ids, ends
+        words = [self.words.findall(self.marked(t)) for t in texts]
+        short, paths = [], {}
+        for w in {w for x in words for w in x}:
+            known = self.memory.get(w)
+            if known is None and (known := self.older.get(w)) is not None:
+                self.remember(w, known)
+            if known is not None:
+                paths[w] = known
+            elif len(w) > MEMORY_WIDTH // 4:
+                paths[w] = self.of_word(w)
+            else:
+                short.append(w)
+        for w, path in zip(short, self.best_paths(short), strict=True):
+            paths[w] = path
+            self.remember(w, path)
+        of = paths.__getitem__
+        for x in words:
+            ids.extend(chain.from_iterable(map(of, x)))
+            ends.append(len(ids))
+        return ids, ends
 
     def encode(self, text: str | None) -> np.ndarray:
         ids = array("i")
@@ -318,21 +414,21 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, id_col: str = "do
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(sent.value)
         for batch in batches:
-            texts, first = batch.column(1), 0
-            ids, ends, same = array("i"), array("i", [0]), []
-            for at in range(len(texts)):
-                text = texts[at].as_py()
-                tokenizer.encode_into(text, ids)
-                same.append(tokenizer.decode(ids[ends[-1]:]) == text)
-                ends.append(len(ids))
-                if len(ids) >= FLUSH or at == len(texts) - 1:
-                    flat = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids.tobytes())])
-                    stops = np.array(ends, np.int32)
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column(0).slice(first, len(same)), pa.array(np.diff(stops).astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(stops), flat), pa.array(same, pa.bool_()),
-                    ], names=[id_col, "n_tokens", "ids", "round_trip"])
-                    first, ids, ends, same = at + 1, array("i"), array("i", [0]), []
+            column, at = batch.column(1), 0
+            while at < len(column):
+                first, texts, held = at, [], 0
+                while at < len(column) and (not texts or held + len(column[at].as_py()) <= CHUNK_CHARS):
+                    texts.append(column[at].as_py())
+                    held += len(texts[-1])
+                    at += 1
+                ids, ends = tokenizer.encode_many(texts)
+                stops = np.array([0, *ends], np.int32)
+                same = [tokenizer.decode(ids[i:j]) == t for i, j, t in zip(stops, ends, texts, strict=False)]
+                flat = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first, len(texts)), pa.array(np.diff(stops).astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(stops), flat), pa.array(same, pa.bool_()),
+                ], names=[id_col, "n_tokens", "ids", "round_trip"])
 
     return docs.select(F.col(id_col), body(text_col).alias("text")).mapInArrow(
         tokens, f"`{id_col}` {id_type}, n_tokens bigint, ids array<int>, round_trip boolean")

@@ -378,6 +378,17 @@ def test_registered_model_equals_the_library(spark):
         model["pieces"].index("▁The"), model["pieces"].index("▁quick")]
 
 
+def test_words_solved_together_equal_words_alone(unigram):
+    own = unigram[0]
+    rnd = random.Random(3)
+    words = ["▁" + "".join(rnd.choice("theofandé日🎉\x00qu") for _ in range(rnd.randint(0, 15))) for _ in range(800)]
+    assert own.best_paths(words) == [own.best_path(w) for w in words]
+    assert own.best_paths([]) == []
+    texts = [" ".join(w[1:] for w in words[i:i + 9]) for i in range(0, 800, 9)] + ["", None, "x" * 70 + " y"]
+    ids, ends = own.encode_many(texts)
+    assert [ids[i:j].tolist() for i, j in zip([0, *ends], ends, strict=False)] == [own.encode(t).tolist() for t in texts]
+
+
 def test_tokens_of_hard_rows(spark):
     rows = [(1, "x" * 200_000), (2, None), (None, "a b"), (1, "é " * 1000), (3, "\u2581")] + [(9, "same")] * 5
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
