@@ -421,6 +421,19 @@ LIMIT {DETAIL_ROWS}"""
     q["agg_airline_hour"] = GOLD + "SELECT * FROM airline_hour"
     q["rollup_refresh"] = GOLD + "SELECT * FROM airline_hour"
     q["gold_run"] = GOLD + "SELECT * FROM airline_hour"
+    measures = "hour_start_at, total_flights, delayed_flights, delay_rate, average_delay_minutes"
+    q["gold_run_recovered"] = GOLD + f"""
+SELECT 'airline' AS dimension, airline_iata AS code, {measures} FROM airline_hour
+UNION ALL SELECT 'airport', airport_iata, {measures} FROM airport_hour"""
+    steps = [FLIGHT_OBS, _latest("flight_obs", "early", _EARLY), _latest("flight_obs", "silver")]
+    for t, stage in (("airline", _airline_stage), ("airport", _airport_stage)):
+        names = (f"{t}_iata", f"{t}_name", t)
+        steps += [stage("early", f"{t}_first"), stage("silver", f"{t}_second"), _empty_dim(f"{t}_none", *names),
+                  f"\n{t}_one AS ({_scd_merge_sql(f'{t}_none', f'{t}_first', *names)})",
+                  f"\n{t}_two AS ({_scd_merge_sql(f'{t}_one', f'{t}_second', *names)})"]
+    q["gold_dimensions"] = _with(*steps) + "UNION ALL ".join(
+        f"SELECT '{t}' AS dimension, {t}_iata AS code, {t}_name AS label, {t}_sk AS sk, effective_from, effective_to, "
+        f"is_current FROM {t}_two " for t in ("airline", "airport"))
     q["agg_airport_hour"] = GOLD + "SELECT * FROM airport_hour"
     q["latest_per_key"] = GOLD + "SELECT * FROM silver"
     as_of = _with(FLIGHT_OBS, _latest("flight_obs", "old", f"observed_at <= TIMESTAMP '{AS_OF}'"),

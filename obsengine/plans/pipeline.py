@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import partitions, quality, rollup, scd, state
-from ..schemas import (ADDITIVE_FIELDS, FACT, FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, LABEL_FIELDS, OBSERVATION,
+from ..operators import partitions, rollup, scd, state
+from ..schemas import (ADDITIVE_FIELDS, FACT_COLUMNS, FACT_ORDER, LABEL_COLUMNS, LABEL_FIELDS, OBSERVATION,
                        OBSERVATION_KEY, OBSERVATION_ORDER)
 from ..sources import landing, payload
 
@@ -128,7 +128,9 @@ def fact_stage(silver_state: DataFrame) -> DataFrame:
 
 def merge_fact(fact: DataFrame, silver_state: DataFrame, order=FACT_ORDER) -> DataFrame:
     """Fact upsert from valid silver rows with a delay (tagged)."""
-    return state.upsert_latest(fact, fact_stage(silver_state), OBSERVATION_KEY, list(order))
+    # silver holds one row per key: there is nothing to reduce
+    return state.upsert_latest(fact, fact_stage(silver_state), OBSERVATION_KEY, list(order),
+                               stage_is_latest=True)
 
 
 def airline_stage(silver_state: DataFrame) -> DataFrame:
@@ -223,38 +225,6 @@ def gold_incremental(silver_state: DataFrame, previous: Gold,
     )
 
 
-def gold_run(silver_state: DataFrame, base: str, grain: str = "day") -> DataFrame:
-    """One stored gold run: fact and hourly rollups below ``base``, partitioned by
-    schedule day (or month).
-
-    The fact's change set is worked out and checked before anything is written; only
-    partitions that hold a change are rewritten, and the rollups are recomputed from
-    the stored fact of those alone (an hour lies in one partition).  Reruns change
-    nothing.  Returns one row of counts: inserted, updated, partitions written."""
-    spark = silver_state.sparkSession
-    stage = state.materialize(state.latest_per_key(fact_stage(silver_state), OBSERVATION_KEY, FACT_ORDER),
-                              "fact-stage")
-    part = partitions.part_value(silver_partition(grain), F.col(OBSERVATION_KEY[0]))
-    parts = [r[0] for r in stage.select(part).distinct().collect()]
-    before = partitions.read(spark, f"{base}/fact", parts)
-    known = before if before is not None else spark.createDataFrame([], FACT)
-    changes = partitions.change_set(
-        state.upsert_latest(known, stage, OBSERVATION_KEY, FACT_ORDER, stage_written=True,
-                            stage_is_latest=True), part)
-    quality.assert_all(quality.check(changes, {
-        "fact has invalid delay": F.col(OBSERVATION_KEY[0]).isNull() | (F.col("delay_minutes") < 0)}))
-    touched = partitions.write_changed(spark, f"{base}/fact", before, changes, OBSERVATION_KEY, part)
-    if touched:
-        fact = partitions.read(spark, f"{base}/fact", touched)
-        hour = silver_partition(grain, "hour_start_at")
-        for name, rows, key in (("airline_hour", airline_rollup(fact), "airline_iata"),
-                                ("airport_hour", airport_rollup(fact), "airport_iata")):
-            partitions.overwrite(rows, f"{base}/{name}", partitions.part_value(hour, F.col(key)))
-    return changes.agg(F.count_if(F.col(state.CHANGE) == state.INSERT).alias("inserted"),
-                       F.count_if(F.col(state.CHANGE) == state.UPDATE).alias("updated"),
-                       F.countDistinct(partitions.PART).alias("partitions"))
-
-
 def _empty_dim(like: DataFrame, table: str) -> DataFrame:
     from ..schemas import AIRLINE_DIM, AIRPORT_DIM
     schema = AIRLINE_DIM if table == "airline" else AIRPORT_DIM

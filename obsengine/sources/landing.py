@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import variant
 from ..schemas import MANIFEST
@@ -145,29 +146,49 @@ def rejected_requests(responses: DataFrame) -> DataFrame:
         .alias("reason"))
 
 
+def _missing(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """Rows, once each, whose ``key`` the table below ``path`` does not hold yet.  The key
+    lies in its landing date, so only the dates of the rows are read."""
+    spark = rows.sparkSession
+    rows = rows.dropDuplicates([key])
+    try:
+        held = spark.read.parquet(path)
+    except AnalysisException:
+        return rows
+    dates = [r[0] for r in rows.select("ingestion_date").distinct().collect()]
+    held = held.where(F.col("ingestion_date").isin(dates)).select(key)
+    return rows.join(held, key, "left_anti")
+
+
 def store_bodies(responses: DataFrame, source: str, bucket: str, path: str) -> None:
     """Append the exact bytes of every body that the log will name to the body
-    store (``path, content``, partitioned by ``ingestion_date``).  Runs before
-    ``append_log``: a log row never names a body that is not there."""
+    store (``path, content``, partitioned by ``ingestion_date``), unless the store holds
+    its object already.  Runs before ``append_log``: a log row never names a body
+    that is not there."""
     r = responses.where(valid_endpoint(F.col("endpoint")) & F.col("body").isNotNull()
                         & F.col("storage_error").isNull())
-    (r.select(F.concat(F.lit(f"s3a://{bucket}/"), object_key(
-                  source, F.col("endpoint"), F.col("ingested_at"), F.col("ingestion_id"))).alias("path"),
-              F.col("body").alias("content"), F.to_date("ingested_at").alias("ingestion_date"))
-     .write.mode("append").partitionBy("ingestion_date").parquet(path))
+    bodies = r.select(F.concat(F.lit(f"s3a://{bucket}/"), object_key(
+                          source, F.col("endpoint"), F.col("ingested_at"), F.col("ingestion_id"))).alias("path"),
+                      F.col("body").alias("content"), F.to_date("ingested_at").alias("ingestion_date"))
+    _missing(bodies, path, "path").select("path", "content", "ingestion_date").write.mode("append").partitionBy(
+        "ingestion_date").parquet(path)
 
 
 def land(responses: DataFrame, source: str, bucket: str, store_path: str, log_path: str) -> None:
-    """Bodies first, then their log rows."""
+    """Bodies first, then their log rows.  A landing that broke off is landed again: what
+    is there stays, what is missing is added (one writer at a time)."""
     store_bodies(responses, source, bucket, store_path)
-    append_log(land_responses(responses, source, bucket), log_path)
+    append_log(land_responses(responses, source, bucket), log_path, only_new=True)
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    """Append log rows to the partitioned log table (``ingestion_date``)."""
-    (log.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields])
-     .withColumn("ingestion_date", F.to_date("ingested_at"))
-     .write.mode("append").partitionBy("ingestion_date").parquet(path))
+def append_log(log: DataFrame, path: str, only_new: bool = False) -> None:
+    """Append log rows to the partitioned log table (``ingestion_date``); with ``only_new``
+    one row for each ``ingestion_id`` that it does not hold."""
+    rows = (log.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields])
+            .withColumn("ingestion_date", F.to_date("ingested_at")))
+    if only_new:
+        rows = _missing(rows, path, "ingestion_id").select(*rows.columns)
+    rows.write.mode("append").partitionBy("ingestion_date").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -201,8 +222,8 @@ def attach_payloads(window: DataFrame, payloads: DataFrame, path_col: str = "pat
                     content_col: str = "content") -> DataFrame:
     """Log window ⋈ payload store on the object path (executor-side read).
 
-    A logged object that the store does not hold fails the job: a window that is
-    silently short would lose observations.  When both sides carry
+    An object that the store holds twice is read once.  A logged object that it does not
+    hold fails the job: a window that is silently short would lose observations.  When both sides carry
     ``ingestion_date``, the store is read for the window's dates only."""
     keys = ["object_path"]
     cols = [F.col(path_col).alias("object_path"), F.col(content_col).alias("body"),
@@ -211,7 +232,8 @@ def attach_payloads(window: DataFrame, payloads: DataFrame, path_col: str = "pat
         keys.append("ingestion_date")
         cols.append(F.col("ingestion_date"))
     missing = F.raise_error(F.concat(F.lit("no stored body for "), F.col("object_path")))
-    return window.join(payloads.select(*cols), keys, "left").select(
+    # grouped by the join's keys: no shuffle of its own
+    return window.join(payloads.select(*cols).dropDuplicates(keys), keys, "left").select(
         "object_path", F.col("ingested_at").alias("observed_at"), "payload_sha256",
         F.when(F.col("_stored"), F.col("body")).otherwise(missing.cast("binary")).alias("body"))
 
