@@ -1 +1 @@
-"""DataFrame → DataFrame operators: state, SCD2, rollups, quality, versions."""
+"""DataFrame → DataFrame operators: state, SCD2, rollups, quality, change log."""

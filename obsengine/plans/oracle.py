@@ -571,6 +571,15 @@ UNION ALL
 SELECT 1, TIMESTAMP '2002-01-01 00:00:00'
 WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUT}')"""
     q["read_version"] = _with(FLIGHT_OBS, _latest("flight_obs", "silver_early", _EARLY)) + "SELECT * FROM silver_early"
+    q["run_metrics"] = two + """
+SELECT * FROM (
+  SELECT 0 AS run, COUNT(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS deleted FROM early_stage
+  UNION ALL
+  SELECT 1, COUNT(*) FILTER (WHERE e.flight_instance_key IS NULL),
+         COUNT(*) FILTER (WHERE (l.observed_at, l.payload_sha256, l.source_file)
+                              > (e.observed_at, e.payload_sha256, e.source_file)), 0
+  FROM late_stage l LEFT JOIN early_stage e ON e.flight_instance_key = l.flight_instance_key)
+WHERE inserted + updated > 0"""
 
     q["parse_payloads"] = PARSED + f"SELECT {PARSED_COLS} FROM parsed"
     q["payload_silver"] = q["parse_payloads"]

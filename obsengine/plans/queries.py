@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import partitions, quality, scd, state, versions
+from ..operators import changelog, partitions, quality, scd, state
 from ..schemas import (ADDITIVE_FIELDS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION_EVOLVED,
                        OBSERVATION_KEY, OBSERVATION_ORDER, ROLLUP_MEASURES)
 from ..session import ensure_utc, scratch_path
@@ -29,7 +29,7 @@ RECENT = "1997-01-01 00:00:00"       # stage of the keep-missing rollup upsert
 WINDOW_START = "2001-09-01 00:00:00"  # a short look-back window merged incrementally
 LOOKBACK_AS_OF = "2024-01-20 00:00:00"
 LOOKBACK_HOURS = 48
-RUN_HOURS = 240                      # first look-back run; a second one takes LOOKBACK_HOURS
+RUN_HOURS = 24 * 366                 # a first run over the whole log; a second one takes LOOKBACK_HOURS
 DETAIL_ROWS = 500
 
 
@@ -331,25 +331,29 @@ def table_counts(spark, sf):
         "airline_hour": g.airline_hour, "airport_hour": g.airport_hour})
 
 
-# -- versions (A15, A16) -----------------------------------------------------
+# -- runs by replay of the change log (A15, A16, I5) --------------------------
 
-def _published(spark, sf) -> str:
-    """Publish silver after the early batch, then after the late batch."""
-    base = scratch_path(spark, "silver_versions")
-    early = pipeline.silver(_early(spark, sf))
-    versions.publish(early, base, _ts(CUT))
-    v0 = versions.read_version(spark, base, 0)
-    versions.publish_if_changed(pipeline.merge_silver(v0, _late(spark, sf)), base,
-                                _ts("2002-01-01 00:00:00"))
+def _replayed(spark, sf) -> str:
+    """Change log of two silver merges: the early batch, then the late batch."""
+    base = scratch_path(spark, "silver_changes")
+    changelog.append(pipeline.silver(_early(spark, sf)), base, _ts(CUT))
+    before = (changelog.at_run(spark, base, OBSERVATION_KEY) if changelog.latest_run(spark, base) is not None
+              else _early(spark, sf).limit(0))
+    changelog.append(pipeline.merge_silver(before, _late(spark, sf)), base, _ts("2002-01-01 00:00:00"))
     return base
 
 
 def version_list(spark, sf):
-    return versions.versions(spark, _published(spark, sf))
+    return changelog.runs(spark, _replayed(spark, sf)).select(F.col("run").alias("version"), "committed_at")
 
 
 def read_version(spark, sf):
-    return versions.read_version(spark, _published(spark, sf), 0)
+    return changelog.at_run(spark, _replayed(spark, sf), OBSERVATION_KEY, 0)
+
+
+def run_metrics(spark, sf):
+    """What each run of the change log inserted and updated (A17)."""
+    return changelog.runs(spark, _replayed(spark, sf)).select("run", "inserted", "updated", "deleted")
 
 
 # -- payload parsing (C1–C16) ------------------------------------------------
@@ -529,6 +533,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_counts": table_counts,
     "version_list": version_list,
     "read_version": read_version,
+    "run_metrics": run_metrics,
     "parse_payloads": parse_payloads,
     "quarantine_reasons": quarantine_reasons,
     "explode_positions": explode_positions,

@@ -1,12 +1,12 @@
 """End-to-end scenario golden: v1 → v2 → late correction → gold →
-dimension change, with published versions, as-of reads and idempotent reruns."""
+dimension change, with a change log of runs, as-of reads and idempotent reruns."""
 import os
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from conftest import fixture_bytes, payloads, t
-from obsengine.operators import partitions, quality, state, versions
+from obsengine.operators import changelog, partitions, quality, state
 from obsengine.plans import pipeline
 from obsengine.schemas import OBSERVATION
 from obsengine.sources import landing
@@ -31,28 +31,28 @@ def test_scenario(spark, tmp_path):
     assert "aircraft_type" not in silver.columns
     r = silver.first()
     assert (r.flight_instance_key, r.delay_minutes, r.observed_at) == (KEY, 33, T1)
-    versions.publish(silver, base, T1)
+    changelog.append(silver, base, T1)
 
     # v2: evolved, e195-e2, observed t2 (published: version 1)
-    silver = state.current(pipeline.bronze_to_silver(versions.read_version(spark, base), window(spark, 2)))
+    silver = state.current(pipeline.bronze_to_silver(changelog.at_run(spark, base, ["flight_instance_key"]), window(spark, 2)))
     r = silver.first()
     assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (33, "e195-e2", T2)
-    assert versions.publish(silver, base, T2) == 1
+    assert changelog.append(silver, base, T2) == 1
 
     # late correction: delay 52, additive field back to NULL; version 1 unchanged
-    tagged = pipeline.bronze_to_silver(versions.read_version(spark, base), window(spark, 3))
+    tagged = pipeline.bronze_to_silver(changelog.at_run(spark, base, ["flight_instance_key"]), window(spark, 3))
     assert {r._change for r in tagged.collect()} == {"update"}
-    versions.publish_if_changed(tagged, base, T3)
-    silver = versions.read_version(spark, base)
+    changelog.append(tagged, base, T3)
+    silver = changelog.at_run(spark, base, ["flight_instance_key"])
     r = silver.first()
     assert (r.delay_minutes, r.aircraft_type, r.observed_at) == (52, None, T3)
-    old = versions.read_version(spark, base, 1).first()
+    old = changelog.at_run(spark, base, ["flight_instance_key"], 1).first()
     assert (old.delay_minutes, old.aircraft_type) == (33, "e195-e2")
 
     # rerun of the same window: zero changes, nothing published
     rerun = pipeline.bronze_to_silver(silver, window(spark, 3))
     assert not state.has_changes(rerun)
-    assert versions.publish_if_changed(rerun, base, T3) is None
+    assert changelog.append(rerun, base, T3) is None
 
     # gold
     g = pipeline.gold_from_silver(silver)

@@ -1,5 +1,5 @@
 """State operators: newest-wins upsert properties, back-fill, change-detecting
-upsert, as-of reads, evolution, versions."""
+upsert, as-of reads, evolution, change log."""
 import itertools
 import os
 import random
@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsengine.operators import partitions, state, versions
+from obsengine.operators import changelog, partitions, state
 from obsengine.schemas import ADDITIVE_FIELDS
 
 SCHEMA = "k string, v int, label string, observed_at timestamp_ntz, sha string, src string"
@@ -112,18 +112,25 @@ def test_diff(spark):
     assert got == {"a": "changed", "b": "removed", "c": "added"}
 
 
-def test_versions_publish_and_time_travel(spark, tmp_path):
+def test_change_log_replays_runs(spark, tmp_path):
     base = str(tmp_path / "silver")
-    v0 = versions.publish(batch(spark, [("a", 1, "A", T0, "s", "f")]), base, T0)
-    tagged = state.upsert_latest(versions.read_version(spark, base), batch(spark, [("a", 2, "A", T0 + timedelta(hours=1), "s", "f")]), "k", ORDER)
-    v1 = versions.publish_if_changed(tagged, base, T0 + timedelta(hours=1))
-    assert (v0, v1) == (0, 1)
-    noop = state.upsert_latest(versions.read_version(spark, base), batch(spark, []), "k", ORDER)
-    assert versions.publish_if_changed(noop, base, T0 + timedelta(hours=2)) is None
-    assert [r.v for r in versions.read_version(spark, base, 0).collect()] == [1]
-    assert [r.v for r in versions.read_version(spark, base).collect()] == [2]
-    vs = sorted((r.version, r.committed_at) for r in versions.versions(spark, base).collect())
-    assert vs == [(0, T0), (1, T0 + timedelta(hours=1))]
+    assert changelog.latest_run(spark, base) is None and changelog.runs(spark, base).collect() == []
+    v0 = changelog.append(batch(spark, [("a", 1, "A", T0, "s", "f"), ("b", 7, "B", T0, "s", "f")]), base, T0)
+    hour = T0 + timedelta(hours=1)
+    tagged = state.upsert_latest(changelog.at_run(spark, base, ["k"]), batch(spark, [("a", 2, "A", hour, "s", "f")]), "k", ORDER)
+    v1 = changelog.append(tagged, base, hour)
+    assert (v0, v1) == (0, 1) and spark.read.parquet(base).count() == 3  # the kept row is not written again
+    noop = state.upsert_latest(changelog.at_run(spark, base, ["k"]), batch(spark, []), "k", ORDER)
+    assert changelog.append(noop, base, T0 + timedelta(hours=2)) is None
+
+    def values(run=None):
+        return sorted((r.k, r.v) for r in changelog.at_run(spark, base, ["k"], run).collect())
+
+    assert (values(0), values()) == ([("a", 1), ("b", 7)], [("a", 2), ("b", 7)])
+    assert sorted(map(tuple, changelog.runs(spark, base).collect())) == [(0, T0, 2, 0, 0), (1, hour, 0, 1, 0)]
+    gone = changelog.at_run(spark, base, ["k"]).where("k = 'b'").withColumn("_change", F.lit("delete"))
+    assert changelog.append(gone, base, hour) == 2
+    assert (values(), values(1)) == ([("a", 2)], [("a", 2), ("b", 7)])
 
 
 def test_broadcast_plan_equals_shuffle_plan(spark):
