@@ -112,3 +112,21 @@ def test_timestamp_with_a_trailing_newline_is_invalid(spark):
     doc = fixture_bytes("v1").replace(b"11:30:00+02:00", b"11:30:00+02:00\\n")
     r = parse(spark, [("nl", t(10), doc)]).first()
     assert r.quality_status == "quarantined" and r.scheduled_departure_at is None
+
+
+def test_bodies_in_every_encoding_of_json(spark):
+    from obsengine.functions import variant
+    text = '{"data":[{"name":"Å 🎉"}]}'
+    codecs = ["utf-8", "utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be"]
+    marked = [b"\xfe\xff" + text.encode("utf-16-be"), b"\x00\x00\xfe\xff" + text.encode("utf-32-be")]
+    good = [text.encode(c) for c in codecs] + marked
+    bad = [text.encode("utf-16-le")[:-1], b"\xff", '["'.encode("utf-16-le") + b"\x00\xd8" + '"]'.encode("utf-16-le"),
+           '["'.encode("utf-16-be") + b"\xdc\x00" + '"]'.encode("utf-16-be"),
+           "[".encode("utf-32-le") + b"\x00\x00\x11\x00"]
+    short = [b"", b"1", b"1\x00", b"\x001", b"[]"]
+    rows = [(i, bytearray(b)) for i, b in enumerate([*good, *bad, *short])] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, body binary").select("i", variant.body_text(F.col("body")).alias("t"))
+    got = {r.i: r.t for r in df.collect()}
+    assert [got[i] for i in range(len(good))] == [text] * len(good)
+    assert [got[len(good) + i] for i in range(len(bad))] == [None] * len(bad)
+    assert [got[len(good) + len(bad) + i] for i in range(5)] == ["", "1", "1", "1", "[]"] and got[99] is None
