@@ -35,7 +35,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         # Broadcast only sides proven tiny (planner statistics / AQE runtime
         # size under 1 MB); everything larger is a shuffled join, which is the
         # plan every fact-to-dimension join takes at cluster scale anyway.
-        # Explicit broadcasts happen only behind a row-count check.
         .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
         .config("spark.sql.session.timeZone", UTC)
