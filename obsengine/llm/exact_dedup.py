@@ -13,7 +13,8 @@ queries.
 
 Hot groups: copies are combined before each shuffle (partial aggregation), so
 a text that makes up a third of all rows costs one row per map task; the joins
-on the digest are plain sort-merge joins that adaptive execution splits.
+on the digest are plain sort-merge joins; the grouping behind the join shares its stage, so a
+hot digest is not split there.
 
 Defined cases: a null text counts as empty; a null id never wins over an id,
 and is not kept if its group has an id; rows that repeat an id with the same
