@@ -44,8 +44,7 @@ links AS (
         FROM pages) l JOIN parsed p USING (page_id)
   WHERE p.host <> '' AND p.host <> lower(l.dst)),
 edges AS (
-  SELECT src, dst, 1.0 / count(*) OVER (PARTITION BY src) AS out_share,
-         1.0 / count(*) OVER (PARTITION BY dst) AS in_share FROM links),
+  SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM links),
 flow AS (
   WITH RECURSIVE walk(step, host, trust, distrust) AS (
     SELECT 0, host, trust::DOUBLE, distrust::DOUBLE FROM seeds
@@ -53,10 +52,10 @@ flow AS (
     SELECT step + 1, host, sum(trust), sum(distrust) FROM (
       SELECT w.step, e.to_host AS host, 0.85 * w.trust * e.t AS trust,
              0.85 * w.distrust * e.d AS distrust
-      FROM walk w JOIN (SELECT src AS from_host, dst AS to_host, out_share AS t, 0.0 AS d FROM edges
-                        UNION ALL SELECT dst, src, 0.0, in_share FROM edges) e
-        ON e.from_host = w.host
-      WHERE w.step < 50) GROUP BY step, host)
+      FROM walk w JOIN (SELECT src AS from_host, dst AS to_host, share AS t, 0.0 AS d FROM edges
+                        UNION ALL SELECT dst, src, 0.0, share FROM edges) e
+        ON e.from_host = w.host) GROUP BY step, host
+    HAVING sum(trust) > 1e-9 OR sum(distrust) > 1e-9)
   SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM walk GROUP BY host)
 SELECT r.page_id, r.host, r.path, r.rule,
        coalesce(r.action, CASE WHEN f.distrust >= 0.5 AND f.distrust > f.trust THEN 'block'

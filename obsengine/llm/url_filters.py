@@ -3,15 +3,18 @@
 Rules are (action, ``host/path``): a rule fits its host and all subdomains when
 the url's path starts with the rule's path; the longest fitting rule wins.
 
-Urls without a rule take the verdict of their host from the host link graph:
-trust flows from hosts with allowed pages along links, distrust flows from
-hosts with blocked pages against links (a host that links to blocked hosts is
-suspect).  Both are personalised PageRank: ``score = seed + damping * flow``,
-where a host passes its trust on in equal parts over its out-links, its
-distrust over its in-links, and a host's seed is the share of its pages that
-the rules allow or block.  Seeds and scores are not normalised over the graph,
-so a threshold means the same at every size.  A host is blocked when its
-distrust reaches ``threshold`` and exceeds its trust.
+Urls without a rule take the verdict of their host from the host link graph.
+Trust flows from hosts with allowed pages along links, in equal parts over a
+host's out-links (personalised PageRank from the trusted).  Distrust flows from
+hosts with blocked pages against links: a host takes the mean distrust of the
+hosts it links to, which is the personalised PageRank that a walk from this host
+gives to the blocked ones.  Both are ``score = seed + damping * flow``; a host's
+seed is the share of its pages that the rules allow or block.  The mean is over
+a host's own links, so links of other hosts to the same target change nothing:
+the threshold means the same in a crawl of any size.  A host is blocked when its
+distrust reaches ``threshold`` and exceeds its trust.  Rounds go on until no
+score moves by more than ``tolerance`` (relative above one); each round shrinks
+what is still under way by ``damping``, so they end.
 
 Links are deduplicated to host edges with map-side combining before any join;
 the scores are written to the shared folder each round, so no lineage grows and
@@ -37,7 +40,6 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"),
 
 DAMPING = 0.85
 THRESHOLD = 0.5
-ROUNDS = 50
 TOLERANCE = 1e-6
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -64,29 +66,35 @@ def compile_rules(rules, host: Column, path: Column) -> Column:
 
 
 def host_edges(pages: DataFrame, host: Column, html: str) -> DataFrame:
-    """Distinct (src, dst) host pairs with the shares passed on along and against the link."""
+    """Distinct (src, dst) host pairs with the share that each link has of its host's links."""
     links = F.explode(F.array_distinct(F.regexp_extract_all(body(html), F.lit(LINK), F.lit(1))))
     pairs = (pages.select(host.alias("src"), links.alias("dst"))
              .select("src", F.translate("dst", UPPER, LOWER).alias("dst"))
              .where("src <> '' AND src <> dst").distinct())
     pairs = written(pairs, "host-links")
-    out = pairs.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("out_share"))
-    into = pairs.groupBy("dst").agg((1.0 / F.count(F.lit(1))).alias("in_share"))
-    return written(pairs.join(out, "src").join(into, "dst"), "host-edges")
+    out = pairs.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
+    return written(pairs.join(out, "src"), "host-edges")
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+              tolerance: float = TOLERANCE) -> DataFrame:
     """``host, trust, distrust`` from ``seeds`` (same columns) over ``edges``."""
+    if not 0.0 <= damping < 1.0:
+        raise ValueError("damping must be at least 0 and below 1: the rounds would not end")
+    if edges.isEmpty():
+        return seeds
     flows = edges.select(F.explode(F.array(
         F.struct(F.col("src").alias("from"), F.col("dst").alias("to"),
-                 F.col("out_share").alias("t"), F.lit(0.0).alias("d")),
+                 F.col("share").alias("t"), F.lit(0.0).alias("d")),
         F.struct(F.col("dst").alias("from"), F.col("src").alias("to"),
-                 F.lit(0.0).alias("t"), F.col("in_share").alias("d")))).alias("f")).select("f.*")
-    if edges.isEmpty():
-        return seeds
-    scores = seeds
-    for _ in range(rounds):
+                 F.lit(0.0).alias("t"), F.col("share").alias("d")))).alias("f")).select("f.*")
+
+    def moved(kind: str):
+        after, before = F.col(f"a.{kind}"), F.coalesce(f"b.{kind}", F.lit(0.0))
+        return F.abs(after - before) / F.greatest(after, F.lit(1.0))
+
+    scores, settled = seeds, False
+    while not settled:
         gained = (scores.join(flows, scores["host"] == flows["from"])
                   .groupBy(F.col("to").alias("host"))
                   .agg((damping * F.sum(F.col("trust") * F.col("t"))).alias("trust"),
@@ -94,14 +102,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
         fresh = written(seeds.unionByName(gained).groupBy("host")
                         .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")),
                         "host-scores")
-        moved = (fresh.alias("a").join(scores.alias("b"), "host", "left")
-                 .agg(F.max(F.greatest(
-                     F.abs(F.col("a.trust") - F.coalesce("b.trust", F.lit(0.0))),
-                     F.abs(F.col("a.distrust") - F.coalesce("b.distrust", F.lit(0.0))))))
-                 .first()[0])
-        scores = fresh
-        if moved is None or moved <= tolerance:
-            break
+        most = (fresh.alias("a").join(scores.alias("b"), "host", "left")
+                .agg(F.max(F.greatest(moved("trust"), moved("distrust")))).first()[0])
+        scores, settled = fresh, most is None or most <= tolerance
     return scores
 
 
