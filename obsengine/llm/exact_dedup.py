@@ -11,10 +11,10 @@ bytes, so texts that share a digest by accident stay apart.  Digests seen once
 need no check.  Everything is planned by Catalyst; the driver only starts
 queries.
 
-Hot groups: copies are combined before each shuffle (partial aggregation), so
-a text that makes up a third of all rows costs one row per map task; the joins
-on the digest are plain sort-merge joins; the grouping behind the join shares its stage, so a
-hot digest is not split there.
+Hot groups: copies are combined before each shuffle (partial aggregation), of
+digests as of whole texts, so a text that makes up a third of all rows costs one
+row per map task; the joins carry ids and digests, never texts, and no grouping
+needs the rows of the last one in one place, so adaptive execution may split it.
 
 Defined cases: a null text counts as empty; a null id never wins over an id,
 and is not kept if its group has an id; rows that repeat an id with the same
@@ -97,14 +97,12 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     state = written(digest_state(spark, path, id_col, text_col, digest, checkpoint), "digests")
     docs = _rows(spark.read.parquet(path), id_col, text_col, digest)
 
-    # Hits: whole texts grouped by their bytes.  Equal texts meet before the shuffle.
-    hits = docs.join(state.where("n > 1").select("digest"), "digest")
-    classes = written(
-        hits.groupBy("digest", "text").agg(F.max("id").alias("keep_id"),
-                                           F.count(F.lit(1)).alias("group_size"))
-        .withColumn("text_key", F.sha2(F.concat(F.lit("\x01"), "text"), 512))
-        .drop("text"), "text-classes")
-    clashes = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    # Hits: whole texts grouped by their bytes, before they meet the state, so that copies
+    # are combined in the map tasks and the joins carry digests alone.
+    hits = state.where("n > 1").select("digest")
+    distinct_texts = docs.select("digest", "text").distinct().select("digest")
+    clashes = written(distinct_texts.join(hits, "digest", "left_semi").groupBy("digest")
+                      .agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "digest-clashes")
 
     def result(rows: DataFrame) -> DataFrame:
         return rows.select(
@@ -120,7 +118,12 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
              .withColumn("group_size", F.coalesce("group_size", missing)))
     if clashes.isEmpty():
         return result(known)
-    mixed = docs.join(clashes.select("digest"), "digest").select(
-        "id", "digest", F.sha2(F.concat(F.lit("\x01"), "text"), 512).alias("text_key"))
+    text_key = F.sha2(F.concat(F.lit("\x01"), "text"), 512)
+    classes = (docs.groupBy("digest", "text")
+               .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+               .join(clashes.select("digest"), "digest", "left_semi")
+               .select(text_key.alias("text_key"), "digest", "keep_id", "group_size"))
+    mixed = docs.join(clashes.select("digest"), "digest", "left_semi").select(
+        "id", "digest", text_key.alias("text_key"))
     return result(known.join(clashes, "digest", "left_anti")).unionByName(
         result(mixed.join(classes, ["digest", "text_key"])))
