@@ -6,7 +6,8 @@ labelled pages, where the publisher's own ``<article>`` marks the content.  Word
 of content elements score positive, tags never do, words of menus, footers or
 adverts score negative, or nothing where these stand within content (a region then
 spans them).  An element's name makes no boilerplate of an article or main, nor of
-what holds one.  One linear scan finds the contiguous region with the
+what holds one; inside one only a whole name does, and never of prose, tables or
+figures.  One linear scan finds the contiguous region with the
 largest sum; its blocks, without what still stands in a boilerplate element, are
 the text.
 
@@ -44,7 +45,8 @@ MOST = 4.0
 #: Element names by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|textarea|iframe"
-SKIPPED = frozenset("noscript template svg math object canvas select button".split())
+SKIPPED = frozenset(
+    "noscript template svg annotation annotation-xml object canvas select button".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav "
@@ -82,15 +84,23 @@ BESIDE = frozenset("with without has have no not non hide hidden show".split())
 CONTENT = frozenset(("article", "main"))
 #: An id of these is often the slug of a title: it names a role only with layout words.
 TITLED = PROSE | {"section"}
+#: What these hold within content is content, whatever they are called.
+TOLD = PROSE | INLINE | {"figure", "table", "tr", "thead", "tbody", "tfoot"}
 LAYOUT = frozenset(
-    "area articles bar block body bottom box col column container content form group inner left "
-    "links list main notice outer page post posts right section signup site slot stories teaser "
-    "top unit wrap wrapper".split())
+    "area articles bar block body bottom box button buttons col column container content form group "
+    "icons inner left links list main notice outer page post posts right section signup site slot "
+    "stories teaser top unit wrap wrapper".split())
 
 
-def role(tag: str, name: str) -> str | None:
-    """What an element's class, id or role attribute makes of it."""
-    if "=" not in tag or name in ("body", "html"):
+def plain_name(parts: list[str]) -> bool:
+    """Whether a name tells of nothing but a role and the layout."""
+    return all(p in ROLE_OF_NAME or p in LAYOUT or p.isdigit() for p in parts)
+
+
+def role(tag: str, name: str, inside: bool) -> str | None:
+    """What an element's class, id or role attribute makes of it.  Inside content only the
+    whole name counts (``modal-verbs`` is no modal), and prose keeps its words."""
+    if "=" not in tag or name in ("body", "html") or inside and name in TOLD:
         return None
     for attribute, *values in ATTRIBUTE.findall(tag):
         attribute = attribute.lower()
@@ -103,8 +113,7 @@ def role(tag: str, name: str) -> str | None:
                 if name == "article" and attribute == "class" and parts[:1] == ["comment"]:
                     return "comments"
                 continue
-            if attribute == "id" and name in TITLED and not all(
-                    p in ROLE_OF_NAME or p in LAYOUT or p.isdigit() for p in parts):
+            if (inside or attribute == "id" and name in TITLED) and not plain_name(parts):
                 continue
             for part in parts:
                 if part in BESIDE:
@@ -119,7 +128,7 @@ def events(page: str) -> list[tuple[str, str, str, bool, bool]]:
     context (a boilerplate role, or the nearest block's name), or ``tag`` with its
     context (a boilerplate role, or the element's name) and the element's name as text.
     Boilerplate beside content stands in an open article or main, or in an element
-    that also holds paragraphs."""
+    that also holds paragraphs (the body too, on a page without article and main)."""
     found: list[tuple[str, int, str, str, bool]] = []  # (kind, frame, context, text, in article)
     # Elements in their order: name, name of the nearest block, place of the parent, and
     # the role by tag or by name.  An element is placed before what it holds, and a role
@@ -173,7 +182,8 @@ def events(page: str) -> list[tuple[str, str, str, bool, bool]]:
         at = stack[-1] if stack else 0
         if name not in VOID and not token.endswith("/>"):
             by_tag = ROLE_OF_TAG.get(name)
-            named = None if by_tag else role(token, name)
+            within = open_names["article"] > 0 or open_names["main"] > 0
+            named = None if by_tag else role(token, name, within)
             # What is named as boilerplate inside the content stays so, whatever it holds.
             if name == "main" or name == "article" and not named and not open_names["article"]:
                 for above in stack:
@@ -197,6 +207,7 @@ def events(page: str) -> list[tuple[str, str, str, bool, bool]]:
     # Roles pass down: the outermost one counts, with the place where it stands.
     held, roots = [False] * len(names), [0] * len(names)
     inside = [False] * len(names)
+    flat = CONTENT.isdisjoint(names)
     for i in range(1, len(names)):
         above = parents[i]
         inside[i] = inside[above] or names[i] in CONTENT
@@ -204,7 +215,8 @@ def events(page: str) -> list[tuple[str, str, str, bool, bool]]:
             roles[i], roots[i] = roles[above], roots[above]
         elif roles[i]:
             roots[i] = i
-        elif names[i] in ("p", "blockquote", "pre") and above and names[above] not in ("body", "html"):
+        elif names[i] in ("p", "blockquote", "pre") and (
+                flat or names[above] not in ("body", "html")):
             held[above] = True
     beside = [False] * len(names)
     for i in range(1, len(names)):
@@ -248,23 +260,33 @@ def learn(found: dict) -> dict[tuple[str, str], float]:
     return weights
 
 
-def extract(page: str | None, weights: dict[tuple[str, str], float]) -> str:
-    """The text of one page."""
-    found = [(kind, name, text, beside) for kind, name, text, _, beside in events(page or "")]
+def scores(found: list[tuple], weights: dict[tuple[str, str], float]) -> list[float]:
+    """What each event adds to a region that holds it."""
+    return [
+        0.0 if beside  # not in the text anyway, so it does not cut the region either
+        else len(text.split()) * weights.get(("word", name), 0.4) if kind == "text"
+        else weights.get(("tag", name), -TAG_COST)
+        for kind, name, text, _, beside in found]
+
+
+def best_region(values: list[float]) -> tuple[int, int]:
+    """Begin and end of the contiguous region with the largest sum, the first to end of equals."""
     best, total, begin, span = 0.0, 0.0, 0, (0, 0)
-    for i, (kind, name, text, beside) in enumerate(found):
+    for i, value in enumerate(values):
         if total <= 0.0:
             total, begin = 0.0, i
-        if beside:
-            pass  # not in the text anyway, so it does not cut the region either
-        elif kind == "text":
-            total += len(text.split()) * weights.get(("word", name), 0.4)
-        else:
-            total += weights.get(("tag", name), -TAG_COST)
+        total += value
         if total > best:
             best, span = total, (begin, i + 1)
+    return span
+
+
+def extract(page: str | None, weights: dict[tuple[str, str], float]) -> str:
+    """The text of one page."""
+    found = events(page or "")
+    begin, end = best_region(scores(found, weights))
     blocks, current = [], []
-    for kind, name, text, _ in found[span[0]:span[1]]:
+    for kind, name, text, _, _ in found[begin:end]:
         if kind == "text":
             if name not in ROLES:
                 current.append(text)

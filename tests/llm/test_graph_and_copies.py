@@ -1,0 +1,147 @@
+"""Link-graph verdicts on linked pages, copies of texts, and article text under odd names."""
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+
+from obsengine.llm import exact_dedup, html_extraction, oracle, url_filters
+from obsengine.llm.common import written
+
+PAGES = "page_id long, url string, html string"
+
+
+def linked(*hosts):
+    return "".join(f'<a href="http://{h}/x">y</a>' for h in hosts)
+
+
+def verdicts(spark, pages):
+    rows = [(i, url, html) for i, (url, html) in enumerate(pages)]
+    got = {r.page_id: r for r in url_filters.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    assert len(got) == len(rows)
+    return [got[i] for i in range(len(rows))]
+
+
+# -- link graph ------------------------------------------------------------------
+
+@pytest.mark.parametrize("size", [1, 3, 60])
+def test_a_farm_round_one_blocked_host_is_blocked(spark, size):
+    farm = [(f"http://farm{i}.com/", linked("bad.net")) for i in range(size)]
+    clean = [("http://clean.com/", linked("bad.net", "a.com", "b.com", "c.com")), ("http://a.com/", None)]
+    got = verdicts(spark, [("http://bad.net/", "")] + clean + farm)
+    assert [r.verdict for r in got] == ["block", "allow", "allow"] + ["block"] * size
+    assert {round(r.distrust, 6) for r in got[3:]} == {0.85}
+    assert got[1].distrust == pytest.approx(0.85 / 4)
+
+
+def test_links_of_other_hosts_change_no_distrust(spark):
+    some = [("http://bad.net/", ""), ("http://x.com/", linked("bad.net", "y.com")), ("http://y.com/", linked("x.com"))]
+    more = some + [(f"http://other{i}.com/", linked("bad.net", "x.com")) for i in range(20)]
+    few, many = verdicts(spark, some), verdicts(spark, more)[:3]
+    assert [r.distrust for r in few] == pytest.approx([r.distrust for r in many])
+    # x = 0.85 (1 + y) / 2 and y = 0.85 x, solved through the cycle
+    assert few[1].distrust == pytest.approx(0.425 / (1 - 0.425 * 0.85), abs=1e-5)
+
+
+def test_trust_outweighs_distrust(spark):
+    trusted = [(f"http://t{i}.example.net/en/", linked("both.com")) for i in range(3)]
+    got = verdicts(spark, [("http://bad.net/", ""), ("http://both.com/", linked("bad.net"))] + trusted)
+    assert got[1].trust == pytest.approx(3 * 0.85) and got[1].distrust == pytest.approx(0.85)
+    assert got[1].verdict == "allow"
+
+
+def test_rounds_that_would_not_end_are_refused(spark):
+    with pytest.raises(ValueError):
+        url_filters.judge(spark.createDataFrame([], PAGES), damping=1.0)
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_verdicts_equal_the_registered_sql(spark, seed):
+    rnd = random.Random(seed)
+    hosts = [f"h{i}.com" for i in range(25)] + ["b.net", "c.net", "www.example.net", "d.example.com", "e.org"]
+    paths = ["/", "/en/1", "/de/1", "/fr/1"]
+    rows = [(i, f"HTTP://{rnd.choice(hosts)}{rnd.choice(paths)}?q", linked(*rnd.choices(hosts, k=rnd.randint(0, 3))))
+            for i in range(150)] + [(150, None, None), (151, "no host", linked("b.net")), (152, "http://h1.com", None)]
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    want = con.sql(oracle.ORACLE["op2_url_filters"]).fetchall()
+    got = url_filters.judge(spark.createDataFrame(rows, PAGES)).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
+    unruled = [r[4] for r in want if r[3] is None]
+    assert {"allow", "block"} == set(unruled)
+
+
+# -- exact dedup -----------------------------------------------------------------
+
+def test_texts_are_combined_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    rows = [(i, "copied words") for i in range(300)] + [(i, f"text {i}") for i in range(300, 340)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    plans = {}
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(exact_dedup, "written", planned)
+    got = {r.doc_id: r for r in exact_dedup.exact_dedup(spark, path).collect()}
+    assert {(r.keep_id, r.group_size) for i, r in got.items() if i < 300} == {(299, 300)}
+    assert all(got[i].kept and got[i].group_size == 1 for i in range(300, 340))
+    # below the exchange that carries texts stands a partial aggregation by digest and text
+    lines = plans["digest-clashes"].splitlines()
+    carried = [i for i, line in enumerate(lines) if "Exchange" in line and "text#" in line]
+    assert carried and all("HashAggregate(keys=[digest" in lines[i + 1] and "text#" in lines[i + 1] for i in carried)
+
+
+# -- HTML ------------------------------------------------------------------------
+
+WEIGHTS = html_extraction.learn({})
+
+
+def text_of(body):
+    return html_extraction.extract(f"<html><body>{body}</body></html>", WEIGHTS)
+
+
+@pytest.mark.parametrize("inner, want", [
+    ("<p>Call <code><span class='comment'># note</span> run()</code> now</p>", "Call # note run() now"),
+    ("<p class='share-price'>The price fell</p>", "The price fell"),
+    ("<section class='modal-verbs'><p>Can and may</p></section>", "Can and may"),
+    ("<p class='social'>On social life</p>", "On social life"),
+    ("<h2 class='widget-title'>Widgets of old</h2>", "Widgets of old"),
+    ("<p>In <span class='ad'>AD 70</span> it fell</p>", "In AD 70 it fell"),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold</p>", "Let x=2 hold"),
+    ("<figure class='banner'><img src='a'><figcaption>A flag</figcaption></figure>", "A flag"),
+    ("<p id='respond'>They respond</p>", "They respond")])
+def test_article_text_under_odd_names_stays(inner, want):
+    page = f"<article><p>Words before it</p>{inner}<p>Words after it</p></article>"
+    assert text_of(page) == f"Words before it\n\n{want}\n\nWords after it"
+
+
+@pytest.mark.parametrize("inner", [
+    "<div class='ad'>Buy this</div>", "<div class='share-buttons'><a>Send</a></div>", "<aside>See also</aside>",
+    "<section class='comments'><p>I disagree</p></section>", "<ul class='social-links'><li>Follow us</li></ul>",
+    "<div id='newsletter-signup'><p>Subscribe now</p></div>", "<form><p>Your name</p></form>"])
+def test_boilerplate_within_an_article_stays_out(inner):
+    page = f"<article><p>Words before it</p>{inner}<p>Words after it</p></article>"
+    assert text_of(page) == "Words before it\n\nWords after it"
+
+
+def test_a_flat_page_is_not_cut_by_an_advert():
+    advert = f"<div class='ad'>{'buy this ' * 200}</div>"
+    page = f"<nav><a>Home</a></nav><p>One two three</p>{advert}<p>Four five six seven</p><footer>Contact</footer>"
+    assert text_of(page) == "One two three\n\nFour five six seven"
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_the_scan_finds_the_best_region_of_all(seed):
+    rnd = random.Random(seed)
+    parts = ["<p>", "</p>", "<div>", "</div>", "<nav>", "</nav>", "<aside>", "</aside>", "<b>x</b>", "<br>",
+             "<article>", "</article>", "one two three", "four", "<ul><li>five</ul>", "<hr>", "<table><tr><td>six"]
+    page = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))
+    weights = {k: rnd.choice([-2.0, -0.5, 0.5, 1.0]) if k[0] == "word" else -0.25 for k in WEIGHTS}
+    scores = html_extraction.scores(html_extraction.events(page), weights)
+    begin, end = html_extraction.best_region(scores)
+    every = [sum(scores[a:b]) for a in range(len(scores) + 1) for b in range(a, len(scores) + 1)]
+    assert sum(scores[begin:end]) == max(every)
+    # of equal sums the first to end
+    assert all(sum(scores[a:b]) < max(every) for b in range(end) for a in range(b))
