@@ -102,7 +102,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> np.n
 
 def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str,
            label_col: str, most: int = TRAIN_ROWS) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Featurised labelled documents, at most ``most`` ids, in a fixed order."""
+    """Featurised labelled documents, at most ``most``, one per id, in a fixed order."""
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
               .where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & usable)
               .groupBy("id").agg(F.min("label").alias("label"))
@@ -117,8 +117,10 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
                 "n": [np.fromiter(f.values(), np.int32) for f in found]})
 
     texts = docs.select(F.col(id_col).alias("id"), body(text_col).alias("text"))
-    # At most ``most`` ids: a bound that does not grow with the table.
+    # At most ``most`` rows, one per id however often it repeats: a bound that does not
+    # grow with the table.
     rows = (texts.join(F.broadcast(chosen), "id")
+            .groupBy("id", "label").agg(F.min("text").alias("text"))
             .select(F.col("id").cast("string"), F.col("label").cast("int"), "text")
             .mapInPandas(count, "id string, label int, idx array<int>, n array<int>").toArrow())
     # Arrays stay arrays: as Python numbers the sample would take ten times the memory.
