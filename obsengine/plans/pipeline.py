@@ -61,16 +61,19 @@ def silver_partition(grain: str = "day", ts: str = "scheduled_departure_at") ->
     return day if grain == "day" else F.date_format(day, "yyyy-MM")
 
 
-def merge_into_partitions(base: str, obs: DataFrame, grain: str = "day") -> DataFrame | None:
-    """Incremental silver merge into the partitioned state.
+def latest_stage(obs: DataFrame) -> DataFrame:
+    """The window's latest row per key, written once."""
+    return state.materialize(state.latest_per_key(obs, OBSERVATION_KEY, OBSERVATION_ORDER))
+
 
-    Reduce the window to its latest row per key and write that once; read only
-    the state partitions its keys fall in; work out the changes; rewrite only the
-    partitions that hold one.  Returns the written change set (``_change``,
+def merge_stage(base: str, stage: DataFrame, grain: str = "day") -> DataFrame | None:
+    """Merge a written stage (``latest_stage``) into the partitioned state.
+
+    Read only the state partitions its keys fall in; work out the changes; rewrite
+    only the partitions that hold one.  Returns the written change set (``_change``,
     ``_part``), or None when nothing changed.
     """
-    spark = obs.sparkSession
-    stage = state.materialize(state.latest_per_key(obs, OBSERVATION_KEY, OBSERVATION_ORDER))
+    spark = stage.sparkSession
     part = partitions.part_value(silver_partition(grain), F.col(OBSERVATION_KEY[0]))
     parts = [r[0] for r in stage.select(part).distinct().collect()]
     before = partitions.read(spark, base, parts)
@@ -83,42 +86,53 @@ def merge_into_partitions(base: str, obs: DataFrame, grain: str = "day") -> Data
     return changes if touched else None
 
 
+def merge_into_partitions(base: str, obs: DataFrame, grain: str = "day") -> DataFrame | None:
+    """Incremental silver merge of a window of observations into the partitioned state."""
+    return merge_stage(base, latest_stage(obs), grain)
+
+
+def window_observations(payloads: DataFrame) -> DataFrame:
+    """Observations of a window of bodies, with the additive fields that it holds."""
+    additive = [f.name for f in ADDITIVE_FIELDS]
+    obs = payload.observations(payload.parse(payloads, additive))
+    return obs.drop(*(f for f in additive if not payload.saw_field_in(payloads, f)))
+
+
 def merge_payloads_into(base: str, payloads: DataFrame) -> DataFrame | None:
     """Incremental bronze → silver: parse the window, take the additive-field
     decision, then ``merge_into_partitions``."""
-    additive = [f.name for f in ADDITIVE_FIELDS]
-    obs = payload.observations(payload.parse(payloads, additive))
-    for f in ADDITIVE_FIELDS:
-        if not payload.saw_field_in(payloads, f.name):
-            obs = obs.drop(f.name)
-    return merge_into_partitions(base, obs)
+    return merge_into_partitions(base, window_observations(payloads))
 
 
 def bronze_to_silver_run(spark, log_path: str, store_path: str, base: str, as_of,
                          hours: int = 48) -> DataFrame:
     """One look-back run: log window → stored bodies of its dates → parse → merge
-    into the partitioned state.  Returns one row of counts: files, rows staged,
-    inserted, updated, and whether a column was added."""
+    into the partitioned state.  Returns one row of counts: files, rows parsed, keys
+    staged, inserted, updated, and whether a column was added.
+
+    Each body is parsed once: the parsed rows are written, the stage is reduced from
+    them, and the counts are those of the written tables, so a task that runs again
+    after an executor is lost counts once."""
     window = landing.select_window(landing.read_log(spark, log_path), as_of, hours)
     bodies = state.materialize(landing.attach_payloads(
         window, landing.read_log(spark, store_path)), "window-bodies")
     before = partitions.read(spark, base)
-    old = set() if before is None else set(before.columns)
-    changes = merge_payloads_into(base, bodies)
-    if changes is None:
-        counts = spark.range(1).select(F.lit(0).cast("long").alias("inserted"),
-                                       F.lit(0).cast("long").alias("updated"))
-        added = False
-    else:
-        counts = changes.agg(F.count_if(F.col(state.CHANGE) == state.INSERT).alias("inserted"),
-                             F.count_if(F.col(state.CHANGE) == state.UPDATE).alias("updated"))
-        added = before is not None and any(f.name in changes.columns and f.name not in old
-                                           for f in ADDITIVE_FIELDS)
-    staged = payload.observations(payload.parse(bodies)).agg(
-        F.count(F.lit(1)).alias("parsed"),
-        F.countDistinct(OBSERVATION_KEY[0]).alias("staged"))
-    files = bodies.agg(F.count(F.lit(1)).alias("files"))
-    return files.join(staged).join(counts).withColumn("column_added", F.lit(added))  # one row each
+    parsed = state.materialize(window_observations(bodies), "window-parsed")
+    stage = latest_stage(parsed)
+    changes = merge_stage(base, stage)
+
+    def count(df: DataFrame, name: str, what="*") -> DataFrame:
+        return df.agg(F.count(what).alias(name))
+
+    added = changes is not None and before is not None and any(
+        f.name in changes.columns and f.name not in before.columns for f in ADDITIVE_FIELDS)
+    tags = (spark.createDataFrame([], f"{state.CHANGE} string") if changes is None
+            else changes.select(state.CHANGE))
+    tallies = tags.agg(F.count_if(F.col(state.CHANGE) == state.INSERT).alias("inserted"),
+                       F.count_if(F.col(state.CHANGE) == state.UPDATE).alias("updated"))
+    staged = count(stage, "staged", OBSERVATION_KEY[0])
+    return (count(bodies, "files").join(count(parsed, "parsed")).join(staged).join(tallies)  # one row each
+            .withColumn("column_added", F.lit(added)))
 
 
 def fact_stage(silver_state: DataFrame) -> DataFrame:

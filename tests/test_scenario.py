@@ -159,3 +159,26 @@ def test_look_back_run(spark, tmp_path):
     again = pipeline.bronze_to_silver_run(spark, log, store, base, T3).first()
     assert (again.inserted, again.updated, again.column_added) == (0, 0, False)
     assert partitions.read(spark, base).first().delay_minutes == 33
+
+
+def test_a_run_parses_its_bodies_once(spark, tmp_path, monkeypatch):
+    log, store, base = (str(tmp_path / n) for n in ("log", "store", "silver"))
+    bodies = window(spark, 2).withColumn("ingestion_date", F.to_date("observed_at"))
+    bodies.select(F.col("object_path").alias("path"), F.col("body").alias("content"),
+                  "ingestion_date").write.partitionBy("ingestion_date").parquet(store)
+    bodies.select("object_path", F.col("observed_at").alias("ingested_at"), "payload_sha256",
+                  F.lit(200).alias("http_status"), "ingestion_date").write.partitionBy("ingestion_date").parquet(log)
+    calls, plain = [], pipeline.payload.parse
+
+    def counted(*args, **kwargs):
+        calls.append(args)
+        return plain(*args, **kwargs)
+
+    monkeypatch.setattr(pipeline.payload, "parse", counted)
+    counts = pipeline.bronze_to_silver_run(spark, log, store, base, T3)
+    # the counts read written tables alone: no body is decoded again
+    assert len(calls) == 1
+    assert "parse_json" not in counts._jdf.queryExecution().executedPlan().toString()
+    row, obs = counts.first(), pipeline.payload.observations(plain(bodies))
+    assert (row.files, row.parsed) == (bodies.count(), obs.count())
+    assert row.staged == row.inserted == obs.select("flight_instance_key").distinct().count()
