@@ -91,6 +91,14 @@ def merge_into_partitions(base: str, obs: DataFrame, grain: str = "day") -> Data
     return merge_stage(base, latest_stage(obs), grain)
 
 
+def state_of_keys(base: str, stage: DataFrame, grain: str = "day") -> DataFrame | None:
+    """The state's rows for the keys of a written stage; only its partitions are read."""
+    part = partitions.part_value(silver_partition(grain), F.col(OBSERVATION_KEY[0]))
+    parts = [r[0] for r in stage.select(part).distinct().collect()]
+    rows = partitions.read(stage.sparkSession, base, parts)
+    return None if rows is None else rows.join(stage.select(*OBSERVATION_KEY), list(OBSERVATION_KEY), "left_semi")
+
+
 def window_observations(payloads: DataFrame) -> DataFrame:
     """Observations of a window of bodies, with the additive fields that it holds."""
     additive = [f.name for f in ADDITIVE_FIELDS]
