@@ -1,14 +1,14 @@
 """Line dedup by a segment-partition edit join.
 
 A line of a document is dropped when an earlier line of the corpus (by document
-id, then place) is equal to it, or lies within ``max_edits`` edits and both have
-at least ``NEAR_CHARS`` characters.  Lines shorter than ``MIN_CHARS`` or without a
-word always stay.
+id, then place) is equal to it or near it.  Two lines are near within one edit for
+every ``CHARS_PER_EDIT`` characters of the shorter one, at most ``max_edits``; so the
+shortest lines are near only to themselves.  Lines without a word always stay.
 
 Equal lines meet by hash in one aggregation (map-side combined, so a very common
-line costs one row per task).  Near lines: a line of length l is cut into
-``max_edits + 1`` even segments; if another line is within ``max_edits`` edits, one
-segment occurs in it unchanged, near its own place.  Each line lists its segments,
+line costs one row per task).  Near lines: a line with a limit of k edits is cut into
+k + 1 even segments; if another line is within k edits, one segment occurs in it
+unchanged, near its own place.  Each line lists its segments,
 and probes the segments of all lengths it may be near to with the substrings at the
 places that can match (length-aware, multi-match-aware windows).  Keys with several
 distinct lines are candidates; only their lines are fetched (behind a fixed-size
@@ -17,7 +17,11 @@ bit map, then an exact join) and verified by banded bit-parallel edit distance.
 A task compares the members of a key; it returns the lines that have an earlier
 near line, never pairs.  A key with more than ``RUN_LIMIT`` members is dealt out
 again under the counts of ``2 * max_edits + 1`` groups of characters: edits change at
-most ``2 * max_edits`` counts, so near lines agree in one whole group.
+most ``2 * max_edits`` counts, so near lines agree in one whole group.  What is still
+crowded (lines of one template) is rid of the start and end that all members of the
+key share, and near remainders meet under what is left of them without up to
+``max_edits`` characters; where a remainder has more such forms than the key has
+members, blocks of the members meet in pairs instead.  Both ways are exact.
 
 Defined cases: a null text stays null and an empty one empty; a text whose lines
 are all dropped becomes empty; equal lines of one document keep their first place;
@@ -27,6 +31,8 @@ first; an empty table gives no rows; all other columns are returned as they are.
 
 from __future__ import annotations
 
+import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,8 +48,7 @@ from pyspark.sql import types as T
 from obsengine.llm.common import body, written
 
 MAX_EDITS = 2
-MIN_CHARS = 10
-NEAR_CHARS = 40
+CHARS_PER_EDIT = 20
 RUN_LIMIT = 2048
 #: Lines a task remembers so as to list a common line once, not each time.
 REMEMBERED = 200_000
@@ -60,7 +65,7 @@ def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
     """Eligible lines of a text at their first place."""
     seen = set()
     for i, line in enumerate((text or "").split("\n")):
-        if len(line) >= MIN_CHARS and line not in seen and WORD.search(line):
+        if line not in seen and WORD.search(line):
             seen.add(line)
             yield i, line
 
@@ -83,6 +88,12 @@ def without(text: str | None, dropped) -> str | None:
                      if i not in dropped and first.get(line, i) == i)
 
 
+def limit_of(length, max_edits: int):
+    """Edits within which a line of this length (a number or an array) may be near a
+    line that is not shorter."""
+    return np.minimum(length // CHARS_PER_EDIT, max_edits)
+
+
 def segments(length: int, max_edits: int) -> list[tuple[int, int]]:
     """(start, length) of the even segments of a line of this length."""
     n = max_edits + 1
@@ -95,14 +106,14 @@ def segments(length: int, max_edits: int) -> list[tuple[int, int]]:
     return found
 
 
-def plan_of(length: int, max_edits: int, least: int) -> list[tuple[int, int, int]]:
+def plan_of(length: int, max_edits: int) -> list[tuple[int, int, int]]:
     """(start, end, seed) of every substring that a line of this length lists: its
     own segments, and its probes of the segments of equal or shorter lines."""
     found = {}
-    for other in range(max(length - max_edits, least, max_edits + 1), length + 1):
-        gap = length - other
-        for i, (start, size) in enumerate(segments(other, max_edits)):
-            after = max_edits - i
+    for other in range(max(length - max_edits, CHARS_PER_EDIT), length + 1):
+        gap, limit = length - other, int(limit_of(other, max_edits))
+        for i, (start, size) in enumerate(segments(other, limit) if gap <= limit else ()):
+            after = limit - i
             low = max(0, start - i, start + gap - after)
             high = min(length - size, start + i, start + gap + after)
             for at in range(low, high + 1):
@@ -156,14 +167,35 @@ def counts_of(line: str) -> np.ndarray:
     return np.bincount(np.array([ord(c) for c in line], np.int64) % 61 % 32, minlength=32)
 
 
-def later_near(run: list[tuple], max_edits: int) -> list[int]:
-    """Places in ``run`` (ordered lines) that have an earlier line within the limit."""
+def later_near(run: list[str], max_edits: int) -> list[int]:
+    """Places in ``run`` (ordered lines) that have an earlier line within the limit.
+    Earlier lines are tried in growing stretches: among many near lines the first ones
+    decide."""
     counted = np.stack([counts_of(line) for line in run]).astype(np.int32)
+    length = np.array([len(line) for line in run])
+    limits = limit_of(length, max_edits)
     found = []
     for y in range(1, len(run)):
-        near = np.abs(counted[:y] - counted[y]).sum(axis=1) <= 2 * max_edits
-        if any(within(run[x], run[y], max_edits) for x in np.flatnonzero(near)):
-            found.append(y)
+        start, size = 0, 64
+        while start < y:
+            end = min(y, start + size)
+            limit = np.minimum(limits[start:end], limits[y])
+            near = np.abs(counted[start:end] - counted[y]).sum(axis=1) <= 2 * limit
+            near &= (np.abs(length[start:end] - length[y]) <= limit) & (limit > 0)
+            if any(within(run[start + x], run[y], int(limit[x])) for x in np.flatnonzero(near)):
+                found.append(y)
+                break
+            start, size = end, size * 8
+    return found
+
+
+def shortened(text: str, max_edits: int) -> set[str]:
+    """The text without up to ``max_edits`` of its characters, in all ways: two texts
+    within that many edits have one of these forms in common."""
+    found = last = {text}
+    for _ in range(max_edits):
+        last = {t[:i] + t[i + 1:] for t in last for i in range(len(t))}
+        found = found | last
     return found
 
 
@@ -199,7 +231,7 @@ def _segment_keys(docs: DataFrame, max_edits: int) -> DataFrame:
             for text in batch["text"]:
                 for _, line in lines_of(text):
                     n = len(line)
-                    if n < NEAR_CHARS:
+                    if n < CHARS_PER_EDIT:
                         continue
                     h = line_key(line)[0]
                     if h in seen:
@@ -209,7 +241,7 @@ def _segment_keys(docs: DataFrame, max_edits: int) -> DataFrame:
                     seen.add(h)
                     plan = plans.get(n)
                     if plan is None:
-                        plan = plan_of(n, max_edits, NEAR_CHARS)
+                        plan = plan_of(n, max_edits)
                         if len(plans) < 4096:
                             plans[n] = plan
                     keys += [digest(line[s:e], seed) for s, e, seed in plan]
@@ -281,7 +313,7 @@ def _candidate_lines(docs: DataFrame, hashes: DataFrame, bits: int = MAP_BITS) -
             at, pos, h, c, lines = [], [], [], [], []
             for n, text in enumerate(batch["text"].to_pylist()):
                 for i, line in lines_of(text):
-                    if len(line) >= NEAR_CHARS:
+                    if len(line) >= CHARS_PER_EDIT:
                         key = line_key(line)
                         p = key[0] & mask
                         if full[p >> 3] >> (p & 7) & 1:
@@ -356,6 +388,40 @@ def _verified(members: DataFrame, max_edits: int, run_limit: int | None) -> Data
             .mapInPandas(verify, "key long, line string, h long, c long"))
 
 
+def _template_keys(members: DataFrame, max_edits: int) -> DataFrame:
+    """``members`` under finer keys where their lines differ in a short part only.
+
+    The least and the greatest line of a key share the start that all its lines share
+    (and read backwards their end); without both, distances stay what they are."""
+    back = F.reverse("line")
+    shapes = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("line").alias("low"), F.max("line").alias("high"),
+        F.min(back).alias("back_low"), F.max(back).alias("back_high"),
+        F.min(F.length("line")).alias("least"), F.max(F.length("line")).alias("most"))
+
+    def trimmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples(index=False):
+                head = len(os.path.commonprefix([r.low, r.high]))
+                tail = min(len(os.path.commonprefix([r.back_low, r.back_high])), r.least - head)
+                forms = sum(math.comb(r.most - head - tail, i) for i in range(max_edits + 1))
+                rows.append((r.key, head, tail, forms <= r.n))
+            yield pd.DataFrame(rows, columns=["key", "head", "tail", "short"])
+
+    placed = members.join(shapes.mapInPandas(trimmed, "key long, head int, tail int, short boolean"), "key")
+
+    @F.pandas_udf("array<long>")
+    def forms(keys: pd.Series, rests: pd.Series) -> pd.Series:
+        return pd.Series([[signed(xxhash.xxh64_intdigest(form.encode("utf-8", "replace"), key & ((1 << 64) - 1)))
+                           for form in shortened(rest, max_edits)] for key, rest in zip(keys, rests, strict=True)])
+
+    rest = F.substring("line", F.col("head") + 1, F.length("line") - F.col("head") - F.col("tail"))
+    finer = placed.where("short").withColumn("key", F.explode(forms("key", rest)))
+    return (placed.where("NOT short").select(*members.columns)
+            .unionByName(finer.select(*members.columns)))
+
+
 def _block_pairs(members: DataFrame, run_limit: int) -> DataFrame:
     """``members`` with keys under which any two of a key meet, though at most about
     ``2 * run_limit`` share one: a key's members are dealt into blocks, and a block
@@ -379,8 +445,9 @@ def near_lines(docs: DataFrame, max_edits: int = MAX_EDITS, run_limit: int = RUN
     crowded = found.where("key IS NOT NULL").select("key", "h", "c", "line").distinct()
     if not crowded.isEmpty():
         again = crowded.join(lines.select("h", "c", "line", "first"), ["h", "c", "line"])
+        finer = written(_template_keys(again, max_edits), "line-templates")
         near = near.unionByName(
-            _verified(_block_pairs(again, run_limit), max_edits, None).select("h", "c"))
+            _verified(_block_pairs(finer, run_limit), max_edits, None).select("h", "c"))
     return near.distinct()
 
 

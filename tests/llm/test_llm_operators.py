@@ -181,18 +181,19 @@ def test_banded_distance_and_listings():
         for k in (1, 2, 3):
             assert line_dedup.within(a, b, k) == (edits(a, b) <= k)
     for _ in range(800):
-        a = "".join(rnd.choice("abcdef") for _ in range(rnd.randint(42, 60)))
-        b = mutated(rnd, a, 2)
-        listed = [{(t[s:e], q) for s, e, q in line_dedup.plan_of(len(t), 2, 40)} for t in (a, b)]
+        a = "".join(rnd.choice("abcdef") for _ in range(rnd.randint(22, 90)))
+        most = rnd.choice([2, 3, 4])
+        b = mutated(rnd, a, min((len(a) - most) // 20, most))
+        listed = [{(t[s:e], q) for s, e, q in line_dedup.plan_of(len(t), most)} for t in (a, b)]
         assert listed[0] & listed[1]
 
 
 @pytest.mark.parametrize("limit", [2048, 3])
 def test_line_dedup(spark, limit):
     rnd = random.Random(4)
-    base = ["".join(rnd.choice("abcdefgh ij") for _ in range(rnd.randint(38, 70))) for _ in range(30)]
+    base = ["".join(rnd.choice("abcdefgh ij") for _ in range(rnd.randint(1, 70))) for _ in range(60)]
     rows = [(d, "\n".join(rnd.choice(["", "short", mutated(rnd, rnd.choice(base), rnd.choice([0, 1, 2, 3, 5])), rnd.choice(base)])
-                          for _ in range(rnd.randint(0, 9))), "x") for d in range(80)]
+                          for _ in range(rnd.randint(0, 9))), "x") for d in range(90)]
     rows += [(500, None, "y"), (501, "", "y"), (None, base[0] + "\n" + base[1], "n"), rows[-1]]
     order = lambda d: (d is not None, d or 0)
     first = {}
@@ -200,8 +201,9 @@ def test_line_dedup(spark, limit):
         for at, line in line_dedup.lines_of(text):
             first.setdefault(line, (order(d), at))
     lines = sorted(first, key=first.get)
-    near = {y for n, y in enumerate(lines) if len(y) >= 40 and any(
-        len(x) >= 40 and abs(len(x) - len(y)) <= 2 and edits(x, y) <= 2 for x in lines[:n])}
+    near = {y for n, y in enumerate(lines) if any(
+        abs(len(x) - len(y)) <= 2 and edits(x, y) <= min(len(x) // 20, len(y) // 20, 2) for x in lines[:n])}
+    assert {len(y) // 20 for y in near} >= {1, 2, 3}
     want = []
     for d, text, other in rows:
         gone = {at for at, line in line_dedup.lines_of(text) if line in near or first[line][0] != order(d)}

@@ -1,5 +1,6 @@
 """Cases in which an operator did less than its whole job."""
 import os
+import random
 import time
 from collections import defaultdict
 from itertools import combinations
@@ -100,6 +101,36 @@ def test_template_lines_with_a_number(spark):
     assert got == {line_dedup.line_key(y) for y in want} and 0 < len(want) < len(lines)
 
 
+def test_template_keys_keep_near_lines_together(spark):
+    """Lines of one template part into small groups; near ones share a group."""
+    lines = [f"{n * 31 % 1000:03d} stands in a line of many words" for n in range(0, 1000, 3)]
+    rows = [(5, n, n, x, (n, 0)) for n, x in enumerate(lines)] + [(6, n, n, x, (n, 0)) for n, x in enumerate(lines[:2])]
+    members = spark.createDataFrame(rows, "key long, h long, c long, line string, first struct<id:long,pos:int>")
+    met = defaultdict(set)
+    for r in line_dedup._template_keys(members, 2).collect():
+        met[r.key].add(r.line)
+    shared = {p for xs in met.values() for p in combinations(sorted(xs), 2)}
+    assert shared >= {(x, y) for x, y in combinations(sorted(lines), 2) if line_dedup.within(x, y, 2)}
+    assert max(map(len, met.values())) < len(lines) and any(xs == set(lines[:2]) for xs in met.values())
+
+
+def test_growing_stretches_find_the_same_lines():
+    rnd = random.Random(9)
+    run = list(dict.fromkeys("".join(rnd.choice("ab") for _ in range(rnd.randint(18, 23))) + "x" * rnd.choice([0, 20])
+                             for _ in range(700)))
+    want = [n for n, y in enumerate(run) if any(
+        line_dedup.within(x, y, min(len(x) // 20, len(y) // 20, 2)) and min(len(x), len(y)) >= 20 for x in run[:n])]
+    assert line_dedup.later_near(run, 2) == want and want
+
+
+def test_short_lines_that_repeat_go(spark):
+    docs = spark.createDataFrame([(1, "Yes.\n--\n\nriver"), (2, "Yes.\n--\n\nstone"), (3, None), (4, "yes.")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()}
+    assert got == {1: "Yes.\n--\n\nriver", 2: "\nstone", 3: None, 4: "yes."}
+    assert line_dedup.dedup(docs.limit(0)).count() == 0
+
+
 # -- exact dedup ---------------------------------------------------------------
 
 def test_old_files_count_and_missing_texts_fail(spark, tmp_path):
