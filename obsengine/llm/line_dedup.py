@@ -392,7 +392,9 @@ def _template_keys(members: DataFrame, max_edits: int) -> DataFrame:
     """``members`` under finer keys where their lines differ in a short part only.
 
     The least and the greatest line of a key share the start that all its lines share
-    (and read backwards their end); without both, distances stay what they are."""
+    (and read backwards their end); without both, distances stay what they are.  The new
+    keys name this start and end and not the old key, so a template whose lines meet
+    under many keys is dealt out once."""
     back = F.reverse("line")
     shapes = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("line").alias("low"), F.max("line").alias("high"),
@@ -412,12 +414,16 @@ def _template_keys(members: DataFrame, max_edits: int) -> DataFrame:
     placed = members.join(shapes.mapInPandas(trimmed, "key long, head int, tail int, short boolean"), "key")
 
     @F.pandas_udf("array<long>")
-    def forms(keys: pd.Series, rests: pd.Series) -> pd.Series:
-        return pd.Series([[signed(xxhash.xxh64_intdigest(form.encode("utf-8", "replace"), key & ((1 << 64) - 1)))
-                           for form in shortened(rest, max_edits)] for key, rest in zip(keys, rests, strict=True)])
-
-    rest = F.substring("line", F.col("head") + 1, F.length("line") - F.col("head") - F.col("tail"))
-    finer = placed.where("short").withColumn("key", F.explode(forms("key", rest)))
+    def forms(frames: pd.Series, rests: pd.Series) -> pd.Series:
+        digest = xxhash.xxh64_intdigest
+        return pd.Series([[signed(digest(form.encode("utf-8", "replace"), frame & ((1 << 64) - 1)))
+                           for form in shortened(rest, max_edits)] for frame, rest in zip(frames, rests, strict=True)])
+
+    inner = F.length("line") - F.col("head") - F.col("tail")
+    frame = F.xxhash64(F.substring("line", F.lit(1), F.col("head")),
+                       F.substring("line", F.col("head") + 1 + inner, F.col("tail")))
+    finer = (placed.where("short").dropDuplicates(["h", "c", "line", "head", "tail"])
+             .withColumn("key", F.explode(forms(frame, F.substring("line", F.col("head") + 1, inner)))))
     return (placed.where("NOT short").select(*members.columns)
             .unionByName(finer.select(*members.columns)))
 
