@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
 Every document gets the key ``-ln(u) / w``: ``u`` is a hash of its id, ``w`` a
-quality weight in (0, 1].  A source's token target is first served by complete
+positive quality weight: a column of the documents (such as a classifier's score) where
+one is named, else a measure of the text's symbols.  A source's token target is first served by complete
 epochs (every document that many times); the rest is served by documents in key
 order until their prefix sum of words meets the rest.  The document at the
 border is taken when more than half of it lies inside, so a source ends within
@@ -17,7 +18,8 @@ sums, and only documents of the one border range of a source are sorted.  A
 source with a third of all rows is therefore never gathered in one task.
 
 Defined cases: a null text has size 0 and takes 0 words; a null source is a
-source of its own, ordered last; sources without words have target 0; a null id
+source of its own, ordered last; a weight that is null, NaN, infinite or not above 0
+counts as 1; sources without words have target 0; a null id
 gets the key of the empty id; equal keys are ordered by id, then size; repeated
 rows are separate rows with equal keys; empty tables give no rows.
 """
@@ -49,6 +51,12 @@ def quality_weight(text: Column, size: Column) -> Column:
     return F.when(size > 0, 1.0 - 0.5 * F.least(F.lit(1.0), symbols / size)).otherwise(F.lit(1.0))
 
 
+def given_weight(weight: Column) -> Column:
+    """A weight column made safe: whatever cannot scale a key counts as 1."""
+    value = weight.cast("double")
+    return F.when((value > 0) & (value < float("inf")), value).otherwise(F.lit(1.0))
+
+
 def targets(sources: DataFrame, weights, budget: float, max_epochs: int) -> DataFrame:
     """Token target per source (``source, source_size`` in, one row each).
 
@@ -77,23 +85,25 @@ def targets(sources: DataFrame, weights, budget: float, max_epochs: int) -> Data
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          source_col: str = "source", seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
+          source_col: str = "source", seed: str = SEED, buckets: int = BUCKETS,
+          weight_col: str | None = None) -> DataFrame:
     """``id, source, size, key, bucket`` per document; ranges are even in ``1 - exp(-key)``."""
-    text = body(text_col)
+    given = [] if weight_col is None else [given_weight(F.col(weight_col)).alias("weight")]
     sized = (docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                         text.alias("text"))
+                         body(text_col).alias("text"), *given)
              .withColumn("size", F.size(words(F.col("text"))).cast("long")))
+    weight = F.col("weight") if given else quality_weight(F.col("text"), F.col("size"))
     return sized.select(
         "id", "source", "size",
-        (-F.log(uniform(F.col("id"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"),
+        (-F.log(uniform(F.col("id"), seed)) / weight).alias("key"),
     ).withColumn("bucket", F.floor((1.0 - F.exp(-F.col("key"))) * buckets).cast("int"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
+        seed: str = SEED, buckets: int = BUCKETS, weight_col: str | None = None) -> DataFrame:
     """``id_col, source, size, source_size, target, epochs, selected, taken`` per document."""
-    rows = written(sizes(docs, id_col, text_col, source_col, seed, buckets), "mix-sizes")
+    rows = written(sizes(docs, id_col, text_col, source_col, seed, buckets, weight_col), "mix-sizes")
     by_range = written(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")),
                        "mix-ranges")
     plan = targets(by_range.groupBy("source").agg(F.sum("words").alias("source_size")),
