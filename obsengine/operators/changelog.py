@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .state import CHANGE, DELETE, INSERT, KEEP, UPDATE, latest_per_key, materialize
+from .state import CHANGE, COMPRESSION, DELETE, INSERT, KEEP, UPDATE, latest_per_key
 
 RUN, COMMITTED_AT = "_run", "_committed_at"
 
@@ -50,15 +50,14 @@ def append(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
     spark = tagged.sparkSession
     if CHANGE not in tagged.columns:
         tagged = tagged.withColumn(CHANGE, F.lit(INSERT))
-    # worked out once, before the log that the merge may read gains a run
-    changed = materialize(tagged.where(F.col(CHANGE) != KEEP), "run-changes")
-    if changed.isEmpty():
-        return None
     last = latest_run(spark, base)
     number = 0 if last is None else last + 1
-    (changed.withColumns({COMMITTED_AT: F.lit(committed_at).cast("timestamp_ntz"), RUN: F.lit(number)})
-     .write.mode("append").partitionBy(RUN).parquet(base))
-    return number
+    # written straight into the run's folder: a merge that reads the log listed its files before,
+    # and rows without a change make no folder
+    (tagged.where(F.col(CHANGE) != KEEP)
+     .withColumns({COMMITTED_AT: F.lit(committed_at).cast("timestamp_ntz"), RUN: F.lit(number)})
+     .write.mode("append").option("compression", COMPRESSION).partitionBy(RUN).parquet(base))
+    return number if latest_run(spark, base) == number else None
 
 
 def at_run(spark: SparkSession, base: str, key: Sequence[str], run: int | None = None) -> DataFrame:
