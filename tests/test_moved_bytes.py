@@ -2,14 +2,13 @@
 copies, logs that are read once."""
 
 import glob
-import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from obsengine.operators import state
-from obsengine.plans import gold_store, pipeline
+from obsengine.plans import gold_store, pipeline, queries
 from obsengine.schemas import DIGESTS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS, OBSERVATION_KEY
 from obsengine.session import shared_dir
 
@@ -100,3 +99,14 @@ def test_small_changes_by_key_give_the_same_gold(spark):
     whole = pipeline.gold_incremental(state.current(step), pipeline.gold_from_silver(held), silver_changes=changes)
     for table in ("fact", "airline_dim", "airport_dim", "airline_hour", "airport_hour"):
         assert _rows(getattr(narrow, table)) == _rows(getattr(whole, table))
+
+
+def test_table_counts_writes_one_narrow_copy(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_obs", lambda *_: _obs(spark, EARLY + LATE))
+    before = _folders(spark, "materialized")
+    counts = {r["table"]: r["rows"] for r in queries.table_counts(spark, "").collect()}
+    (copy,) = _columns(spark, _folders(spark, "materialized") - before)
+    assert set(copy) == set(gold_store.SOURCE_COLUMNS)
+    # k444 has no airline; the null key is one row
+    assert counts == {"observations": 12, "silver": 6, "fact": 6, "airline_dim": 2, "airport_dim": 1, "airline_hour": 4,
+                      "airport_hour": 3}
