@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from obsengine.operators import state
+from obsengine.operators import quality, scd, state
 from obsengine.plans import gold_store, pipeline, queries
 from obsengine.schemas import DIGESTS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS, OBSERVATION_KEY
 from obsengine.session import shared_dir
@@ -110,3 +110,28 @@ def test_table_counts_writes_one_narrow_copy(spark, monkeypatch):
     # k444 has no airline; the null key is one row
     assert counts == {"observations": 12, "silver": 6, "fact": 6, "airline_dim": 2, "airport_dim": 1, "airline_hour": 4,
                       "airport_hour": 3}
+
+
+def test_quality_checks_write_one_narrow_copy(spark, monkeypatch):
+    rows = [*EARLY, *LATE, ("k6", 0, "a", "A", -4), ("k7", 0, "a", "A", -4), ("k7", 1, "b", "A", 4)]
+    monkeypatch.setattr(queries, "_obs", lambda *_: _obs(spark, rows))
+    before = _folders(spark, "materialized")
+    found = {r["check"]: r["violations"] for r in queries.quality_checks(spark, "").collect()}
+    (copy,) = _columns(spark, _folders(spark, "materialized") - before)
+    assert set(copy) == set(gold_store.SOURCE_COLUMNS)
+    assert found.pop(quality.FACT_CHECK) == 2  # the row without a key and the negative delay
+    assert len(found) == 4 and not any(found.values())
+
+
+def test_history_reads_the_log_once(spark, tmp_path, no_broadcast):
+    rows = _obs(spark, [("k", h, "a", a, 1) for h, a in ((0, "A"), (1, "A"), (50, "A"), (0, "B"), (30, "B"))])
+    named = rows.withColumn("airline_name", F.concat("airline_iata", F.date_format("observed_at", "dd")))
+    no_time = named.limit(2).withColumn("observed_at", F.lit(None).cast("timestamp_ntz"))
+    named.unionByName(no_time).coalesce(1).write.parquet(str(tmp_path / "log"))
+    dim = scd.history(spark.read.parquet(str(tmp_path / "log")), "airline_iata", "airline_name", "airline")
+    rows = dim.select("airline_iata", "airline_name", "effective_from", "effective_to")
+    found = rows.collect()
+    assert _plan(rows).partition("== Initial Plan ==")[0].count("FileScan parquet") == 1
+    assert sorted(map(tuple, found), key=str) == sorted([
+        ("A", "A22", T0, T0 + timedelta(hours=50)), ("A", "A24", T0 + timedelta(hours=50), None),
+        ("B", "B22", T0, T0 + timedelta(hours=30)), ("B", "B23", T0 + timedelta(hours=30), None)], key=str)
