@@ -7,10 +7,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from obsengine.operators import quality, scd, state
+from obsengine.operators import partitions, quality, scd, state
 from obsengine.plans import gold_store, pipeline, queries
 from obsengine.schemas import DIGESTS, FACT_ORDER, LABEL_COLUMNS, OBSERVATION, OBSERVATION_COLUMNS, OBSERVATION_KEY
 from obsengine.session import shared_dir
+from obsengine.sources import bindings, payload
 
 T0 = datetime(2026, 8, 22, 6)
 
@@ -135,3 +136,45 @@ def test_history_reads_the_log_once(spark, tmp_path, no_broadcast):
     assert sorted(map(tuple, found), key=str) == sorted([
         ("A", "A22", T0, T0 + timedelta(hours=50)), ("A", "A24", T0 + timedelta(hours=50), None),
         ("B", "B22", T0, T0 + timedelta(hours=30)), ("B", "B23", T0 + timedelta(hours=30), None)], key=str)
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i // 20, i % 20, i % 60), i % 5, "view", '{"k": %d}' % (i % 40)) for i in range(100)]
+    rows += rows[40:44]  # rows that come twice
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_bodies_are_made_after_the_shuffle(spark, events):
+    plan = _plan(bindings.payload_log(spark, events))
+    assert "flight_status" in plan and "flight_status" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert plan.count("Exchange") == 1
+    assert bindings.payload_log(spark, events).count() == 25
+
+
+def test_a_run_lands_its_bodies_once(spark, events):
+    landed, log, store = (_folders(spark, n) for n in ("run-landed", "run-log", "run-store"))
+    silver = queries.bronze_to_silver_run(spark, events)
+    assert _folders(spark, "run-landed") == landed
+    (log,), (store,) = _folders(spark, "run-log") - log, _folders(spark, "run-store") - store
+    logged, stored = spark.read.parquet(log), spark.read.parquet(store)
+    assert set(logged.columns) == {"object_path", "ingested_at", "payload_sha256", "http_status", "ingestion_date"}
+    assert logged.count() == stored.count() == 30  # every fifth body comes again
+    bodies = queries._resent(bindings.payload_log(spark, events)).withColumn("payload_sha256", F.sha2("body", 256))
+    assert _rows(logged.select("object_path", "ingested_at", "payload_sha256")) == _rows(
+        bodies.select("object_path", "observed_at", "payload_sha256"))
+    expected = pipeline.silver(payload.observations(payload.parse(bodies)))
+    assert _rows(silver.select(*expected.columns)) == _rows(expected)
+
+
+def test_partitions_are_laid_out_with_packed_digests(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(partitions, "packed", lambda rows, names: seen.append(names) or state.packed(rows, names))
+    rows = _obs(spark, [("0a" * 32, 0, "b" * 64, "A", 1), ("quarantine:x:0", 0, "AB" * 32, "A", 1), (None, 0, None, "A", 1)])
+    partitions.overwrite(rows, str(tmp_path / "t"), F.lit("p"))
+    assert seen == [DIGESTS]
+    assert _rows(partitions.read(spark, str(tmp_path / "t"))) == _rows(rows)
+    partitions.overwrite(state.packed(rows, DIGESTS), str(tmp_path / "b"), F.lit("p"))  # bytes stay bytes
+    assert _rows(partitions.read(spark, str(tmp_path / "b"))) == _rows(state.packed(rows, DIGESTS))
