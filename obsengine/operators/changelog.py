@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .state import CHANGE, COMPRESSION, DELETE, INSERT, KEEP, UPDATE, latest_per_key
+from .state import (CHANGE, COMPRESSION, DELETE, INSERT, KEEP, UPDATE, _buckets, _names, latest_per_key, read_by_key,
+                    write_by_key)
 
 RUN, COMMITTED_AT = "_run", "_committed_at"
+BY = "_by"  # how a run was bucketed: the buckets and the key, the same in all of its rows
 
 
 def _log(spark: SparkSession, base: str) -> DataFrame | None:
@@ -44,9 +46,11 @@ def latest_run(spark: SparkSession, base: str) -> int | None:
     return None if log is None else log.select(F.max(RUN)).first()[0]
 
 
-def append(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
+def append(tagged: DataFrame, base: str, committed_at: datetime, key: Sequence[str] = (),
+           near: Sequence[str] = ()) -> int | None:
     """Append the changed rows of a merge (an untagged table counts as inserted) as the next
-    run; returns its number, or None when nothing changed and nothing was written."""
+    run; returns its number, or None when nothing changed and nothing was written.  With a ``key``
+    the run lies in buckets of it (``near``: see ``state.write_by_key``), which suits merges on that key."""
     spark = tagged.sparkSession
     if CHANGE not in tagged.columns:
         tagged = tagged.withColumn(CHANGE, F.lit(INSERT))
@@ -54,19 +58,39 @@ def append(tagged: DataFrame, base: str, committed_at: datetime) -> int | None:
     number = 0 if last is None else last + 1
     # written straight into the run's folder: a merge that reads the log listed its files before,
     # and rows without a change make no folder
-    (tagged.where(F.col(CHANGE) != KEEP)
-     .withColumns({COMMITTED_AT: F.lit(committed_at).cast("timestamp_ntz"), RUN: F.lit(number)})
-     .write.mode("append").option("compression", COMPRESSION).partitionBy(RUN).parquet(base))
+    rows = tagged.where(F.col(CHANGE) != KEEP).withColumn(COMMITTED_AT, F.lit(committed_at).cast("timestamp_ntz"))
+    if key:
+        n = _buckets(spark)
+        by = rows.withColumn(BY, F.lit(f"{n} {','.join(_names(key))}"))
+        write_by_key(by, f"{base}/{RUN}={number}", key, n, near)
+    else:
+        (rows.withColumn(RUN, F.lit(number)).write.mode("append").option("compression", COMPRESSION)
+         .partitionBy(RUN).parquet(base))
     return number if latest_run(spark, base) == number else None
 
 
-def at_run(spark: SparkSession, base: str, key: Sequence[str], run: int | None = None) -> DataFrame:
+def _only_run(log: DataFrame, base: str, key: Sequence[str]) -> DataFrame | None:
+    """The log when it is one run in buckets of the key."""
+    if BY not in log.columns:
+        return None
+    found = log.select(RUN, BY).distinct().limit(2).collect()
+    buckets, _, by = ((found[0][BY] or "") if len(found) == 1 else "").partition(" ")
+    if by != ",".join(key):
+        return None
+    run = found[0][RUN]
+    return read_by_key(log.sparkSession, f"{base}/{RUN}={run}", key, int(buckets)).withColumn(RUN, F.lit(run))
+
+
+def at_run(spark: SparkSession, base: str, key: Sequence[str], run: int | None = None,
+           whole: bool = False) -> DataFrame:
     """The table after ``run`` (default: the newest): per key its newest change up to then.
-    Later runs are folders that are not read."""
+    Later runs are folders that are not read.  A first run in buckets of the key is not
+    shuffled; ``whole``: see ``latest_per_key``."""
     log = _log(spark, base)
     if log is None:
         raise ValueError(f"no run below {base}")
     if run is not None:
         log = log.where(F.col(RUN) <= run)
-    newest = latest_per_key(log, key, [RUN])
-    return newest.where(F.col(CHANGE) != DELETE).drop(CHANGE, RUN, COMMITTED_AT)
+    only = _only_run(log, base, _names(key))
+    newest = latest_per_key(log, key, [RUN], whole) if only is None else latest_per_key(only, key, [RUN])
+    return newest.where(F.col(CHANGE) != DELETE).drop(CHANGE, RUN, COMMITTED_AT, BY)
